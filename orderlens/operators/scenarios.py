@@ -20,7 +20,7 @@ from orderlens.fixed_values import (
 from orderlens.functions.numbers import line_value, share
 from orderlens.operators.filters import semi_lines, with_defaults
 from orderlens.operators.kpis import shown, total
-from orderlens.operators.ordered import exact_percentiles
+from orderlens.session import materialize
 
 LEVEL_KEYS = ("user_id", "product_id", "category", "brand")
 LISTING_COLUMNS = (
@@ -39,29 +39,26 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: s
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[prefix + k]) for k in keys])
 
 
-def _reference_levels(known: DataFrame, wanted: DataFrame, minimum: int, percentile: float) -> DataFrame:
-    """Each wanted key combination with the first level that has enough known quantities.
+def _level_hits(histogram: DataFrame, keys: Sequence[str], level: int, minimum: int, percentile: float) -> DataFrame:
+    """Groups of one level with enough known quantities: (keys, support, exact percentile)."""
+    return (
+        histogram.groupBy(*[F.col(k).alias(f"_l_{k}") for k in keys])
+        .agg(F.sum("n").alias("_n"), F.percentile("quantity", percentile, F.col("n")).alias("_p"))
+        .filter(F.col("_n") >= minimum)
+        .select(*[f"_l_{k}" for k in keys], F.struct(F.lit(level).alias("level"), "_n", "_p").alias(f"_hit{level}"))
+    )
 
-    `wanted` holds the distinct keys of the lines without quantity. A level first keeps the known lines
-    whose key is wanted, then aggregates: quantities take few distinct values, so the exact percentile
-    merges on the map side and a hot key costs one small buffer per task.
-    """
+
+def _resolve(wanted: DataFrame, by_user: DataFrame, by_product: DataFrame, minimum: int, percentile: float) -> DataFrame:
+    """Each wanted key combination with the first level that has enough known quantities."""
     resolved = wanted
-    levels = [(name, keys) for name, keys in ESTIMATION_LEVELS if keys]
-    for i, (_, keys) in enumerate(levels):
-        asked = wanted.select(*[F.col(k).alias(f"_w_{k}") for k in keys]).distinct()
-        references = known.join(asked, _null_safe(known, asked, keys, "_w_"), "left_semi")
-        stats = (
-            references.groupBy(*[F.col(k).alias(f"_l_{k}") for k in keys])
-            .agg(F.count(F.lit(1)).alias("_n"), F.percentile("quantity", percentile).alias("_p"))
-            .filter(F.col("_n") >= minimum)
-            .select(*[f"_l_{k}" for k in keys], F.struct(F.lit(i).alias("level"), "_n", "_p").alias(f"_hit{i}"))
-        )
-        resolved = resolved.join(stats, _null_safe(resolved, stats, keys, "_l_"), "left").drop(
-            *[f"_l_{k}" for k in keys]
-        )
+    grouped = [keys for _, keys in ESTIMATION_LEVELS if keys]
+    for level, keys in enumerate(grouped):
+        histogram = by_user if "user_id" in keys else by_product
+        hits = _level_hits(histogram, keys, level, minimum, percentile)
+        resolved = resolved.join(hits, _null_safe(resolved, hits, keys, "_l_"), "left").drop(*[f"_l_{k}" for k in keys])
     return resolved.select(
-        *[F.col(k).alias(f"_r_{k}") for k in LEVEL_KEYS], F.coalesce(*[F.col(f"_hit{i}") for i in range(len(levels))]).alias("_hit")
+        *[F.col(k).alias(f"_r_{k}") for k in LEVEL_KEYS], F.coalesce(*[F.col(f"_hit{i}") for i in range(len(grouped))]).alias("_hit")
     )
 
 
@@ -73,23 +70,34 @@ def build_retrospective_scenarios(
 ) -> DataFrame:
     """Minimum and hierarchical maximum per line, with the method, its support and its percentile.
 
-    Lines with a quantity pass through untouched; only the lines without one are joined.
+    The known lines are read twice, each time into a counted histogram of quantities: one per product for
+    the levels without the user, one per user and product for the users that miss a quantity. Every level
+    rolls up one of the two, so a hot user or product reaches a task as counts, not as lines. Lines with a
+    quantity pass through untouched; only the lines without one are joined.
     """
     quantity = F.col("quantity").cast("double")
     known = df.filter(quantity > 0).select(*LEVEL_KEYS, quantity.alias("quantity"))
-    facts = df.agg(
-        F.max(quantity).alias("largest"), F.count_if(quantity > 0).alias("references"), F.count_if(quantity.isNull()).alias("missing")
+    without = df.filter(quantity.isNull())
+    wanted = materialize(without.select(*LEVEL_KEYS).distinct())
+    count = F.count(F.lit(1)).alias("n")
+    by_product = materialize(known.groupBy("product_id", "category", "brand", "quantity").agg(count))
+    asked = wanted.select(F.col("user_id").alias("_w_user_id")).distinct()
+    near = known.join(asked, _null_safe(known, asked, ["user_id"], "_w_"), "left_semi")
+    by_user = materialize(near.groupBy(*LEVEL_KEYS, "quantity").agg(count))
+
+    # one map entry per distinct quantity
+    facts = by_product.agg(
+        F.max("quantity").alias("largest"), F.coalesce(F.sum("n"), F.lit(0)).alias("references"),
+        F.percentile("quantity", percentile, F.col("n")).alias("overall"),
     ).first()
-    if facts["missing"] and facts["references"] < min_references:
+    if facts["references"] < min_references and not wanted.isEmpty():
         raise ValueError("not enough known quantities to estimate the missing ones")
-    overall = exact_percentiles(known, {"quantity": [percentile]})["quantity"][0]
     largest = int(facts["largest"]) if facts["largest"] is not None else None
 
-    without = df.filter(quantity.isNull())
-    resolved = _reference_levels(known, without.select(*LEVEL_KEYS).distinct(), min_references, percentile)
+    resolved = _resolve(wanted, by_user, by_product, min_references, percentile)
     names = F.array(*[F.lit(name) for name, _ in ESTIMATION_LEVELS])
     level = F.coalesce("_hit.level", F.lit(len(ESTIMATION_LEVELS) - 1))
-    p = F.coalesce("_hit._p", F.lit(overall).cast("double"))
+    p = F.coalesce("_hit._p", F.lit(facts["overall"]).cast("double"))
     # rounding removes the noise of interpolation before the ceiling
     ceiling = F.ceil(F.round(p, 6))
     estimated = without.join(resolved, _null_safe(without, resolved, LEVEL_KEYS, "_r_"), "left").select(
