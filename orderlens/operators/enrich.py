@@ -29,9 +29,6 @@ QUALITY_COLUMNS = ("data_quality_flag", "valid_sales_flag")
 PERSONAL_COLUMNS = ("email", "phone", "address", "first_name", "last_name")
 ENRICHED_COLUMNS = LINE_COLUMNS + PRODUCT_COLUMNS + USER_COLUMNS + DERIVED_COLUMNS + QUALITY_COLUMNS
 
-_PRODUCT_TYPES = ("string", "string", "string", numbers.MONEY, "double", "double", "double", "double", "string", "boolean")
-_USER_TYPES = ("int", "string", "string", "string", "string", "string")
-
 
 def normalize_carts(carts: DataFrame) -> DataFrame:
     """Unnest order lines with their 1-based position; orders without lines vanish."""
@@ -101,66 +98,92 @@ def prepare_users(
     ).drop(*PERSONAL_COLUMNS)
 
 
-def _attach(lines: DataFrame, dimension: DataFrame | None, key: str, columns, types, flag: str) -> DataFrame:
-    """Left join on a unique key. No hint: Spark broadcasts by measured size, else AQE splits hot keys."""
-    if dimension is None:
-        return lines.withColumns(
-            {**{c: F.lit(None).cast(t) for c, t in zip(columns, types)}, flag: F.lit(None).cast("boolean")}
-        )
-    marked = dimension.select(key, *[c for c in columns if c in dimension.columns], F.lit(True).alias(flag))
-    joined = lines.join(marked, key, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
-    absent = {c: F.lit(None).cast(t) for c, t in zip(columns, types) if c not in dimension.columns}
-    return joined.withColumns(absent) if absent else joined
+def attach_dimension(lines: DataFrame, dimension: DataFrame, key: str, columns: Sequence[str], flag: str) -> DataFrame:
+    """Left join on a unique key with a match flag.
+
+    No hint is given: Spark broadcasts by measured size, and beyond that AQE splits hot keys.
+    """
+    marked = dimension.select(key, *columns, F.lit(True).alias(flag))
+    return lines.join(marked, key, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 
 def join_dimensions(lines: DataFrame, products: DataFrame | None, users: DataFrame | None) -> DataFrame:
-    """Lines with both dimensions; a dimension that a query does not need may be left out."""
-    with_products = _attach(lines, products, "product_id", PRODUCT_COLUMNS, _PRODUCT_TYPES, "product_match_flag")
-    return _attach(with_products, users, "user_id", USER_COLUMNS, _USER_TYPES, "user_match_flag")
+    """Lines with their dimensions; one that a query does not need may be left out."""
+    out = lines
+    if products is not None:
+        columns = [c for c in PRODUCT_COLUMNS if c in products.columns]
+        out = attach_dimension(out, products, "product_id", columns, "product_match_flag")
+    if users is not None:
+        columns = [c for c in USER_COLUMNS if c in users.columns]
+        out = attach_dimension(out, users, "user_id", columns, "user_match_flag")
+    return out
+
+
+# column -> the columns it is derived from
+_DERIVED_FROM = {
+    "discount_percentage": ("line_discount_percentage", "catalog_discount_percentage"),
+    "revenue": ("unit_price", "quantity"),
+    "price_segment": ("unit_price",),
+    "price_difference": ("unit_price", "catalog_price"),
+    "price_difference_pct": ("unit_price", "catalog_price"),
+    "delivered_flag": ("order_status",),
+    "canceled_flag": ("order_status",),
+    **{c: ("order_date",) for c in ("year", "quarter", "month", "month_name", "year_month")},
+}
 
 
 def derive_columns(
     joined: DataFrame,
+    only: Sequence[str] | None = None,
     price_edges: Sequence[float] = PRICE_EDGES,
     money: str = numbers.MONEY,
     channels: Mapping[str, str] = CHANNEL_NAMES,
     statuses: Mapping[str, str] = STATUS_NAMES,
 ) -> DataFrame:
-    """Canonical vocabularies, lenient types and every derived column, as projections only."""
-    channel, status = text.clean_text(F.col("channel")), text.clean_text(F.col("order_status"))
-    first = joined.withColumns(
-        {
-            "product_name": F.coalesce(text.clean_text(F.col("line_product_name")), "catalog_product_name"),
-            "category": F.coalesce(text.clean_text(F.col("line_category")), "category"),
-            "channel_original": channel,
-            "status_original": status,
-            "channel": text.canonical(channel, channels),
-            "order_status": text.canonical(status, statuses, keep_case=False),
-            "unit_price": numbers.to_number(F.col("unit_price"), money),
-            "catalog_price": numbers.to_number(F.col("catalog_price"), money),
-            **{c: numbers.to_number(F.col(c)) for c in ("quantity", "inventory", "rating", "reviews")},
-            **{c: numbers.to_number(F.col(c)) for c in ("line_discount_percentage", "catalog_discount_percentage")},
-            "order_date": numbers.to_day(F.col("order_date")),
-        }
-    )
-    difference = F.col("unit_price") - F.col("catalog_price")
-    day = F.col("order_date")
-    return first.withColumns(
-        {
-            "discount_percentage": F.coalesce("line_discount_percentage", "catalog_discount_percentage"),
-            "revenue": numbers.line_value(F.col("unit_price"), F.col("quantity"), money),
-            "price_segment": numbers.price_segment(F.col("unit_price"), price_edges),
-            "year": F.year(day),
-            "quarter": F.quarter(day),
-            "month": F.month(day),
-            "month_name": text.month_name(F.month(day)),
-            "year_month": F.date_format(day, "yyyy-MM"),
-            "delivered_flag": F.coalesce(F.col("order_status") == "delivered", F.lit(False)).cast("int"),
-            "canceled_flag": F.coalesce(F.col("order_status") == "cancelled", F.lit(False)).cast("int"),
-            "price_difference": difference,
-            "price_difference_pct": numbers.share(difference, F.col("catalog_price")),
-        }
-    )
+    """Canonical vocabularies, lenient types and derived columns, as projections only.
+
+    `only` names the columns a query needs; nothing else is built.
+    """
+    col = F.col
+    number = {
+        c: (lambda c=c: numbers.to_number(col(c)))
+        for c in ("quantity", "inventory", "rating", "reviews", "line_discount_percentage", "catalog_discount_percentage")
+    }
+    channel = lambda: text.clean_text(col("channel"))
+    status = lambda: text.clean_text(col("order_status"))
+    cleaned = {
+        "product_name": lambda: F.coalesce(text.clean_text(col("line_product_name")), "catalog_product_name"),
+        "category": lambda: F.coalesce(text.clean_text(col("line_category")), "category"),
+        "channel_original": channel,
+        "status_original": status,
+        "channel": lambda: text.canonical(channel(), channels),
+        "order_status": lambda: text.canonical(status(), statuses, keep_case=False),
+        "unit_price": lambda: numbers.to_number(col("unit_price"), money),
+        "catalog_price": lambda: numbers.to_number(col("catalog_price"), money),
+        **number,
+        "order_date": lambda: numbers.to_day(col("order_date")),
+    }
+    day = col("order_date")
+    difference = lambda: col("unit_price") - col("catalog_price")
+    has_status = lambda s: F.coalesce(col("order_status") == s, F.lit(False)).cast("int")
+    derived = {
+        "discount_percentage": lambda: F.coalesce("line_discount_percentage", "catalog_discount_percentage"),
+        "revenue": lambda: numbers.line_value(col("unit_price"), col("quantity"), money),
+        "price_segment": lambda: numbers.price_segment(col("unit_price"), price_edges),
+        "year": lambda: F.year(day),
+        "quarter": lambda: F.quarter(day),
+        "month": lambda: F.month(day),
+        "month_name": lambda: text.month_name(F.month(day)),
+        "year_month": lambda: F.date_format(day, "yyyy-MM"),
+        "delivered_flag": lambda: has_status("delivered"),
+        "canceled_flag": lambda: has_status("cancelled"),
+        "price_difference": difference,
+        "price_difference_pct": lambda: numbers.share(difference(), col("catalog_price")),
+    }
+    wanted = set(only) if only is not None else {*cleaned, *derived}
+    needed = wanted.union(*(_DERIVED_FROM.get(c, ()) for c in wanted))
+    first = joined.withColumns({c: make() for c, make in cleaned.items() if c in needed})
+    return first.withColumns({c: make() for c, make in derived.items() if c in wanted})
 
 
 def build_orders_enriched(

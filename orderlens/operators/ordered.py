@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from orderlens.session import materialize
 
 # A percentile buffer is a value -> count map: this many distinct values is a few tens of MB.
-MAX_DISTINCT = 500_000
+MAX_DISTINCT = 1_000_000
 SKETCH_ACCURACY = 10_000
 ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 2_000
@@ -29,56 +30,78 @@ def exact_percentiles(
     max_distinct: int = MAX_DISTINCT,
     accuracy: int = SKETCH_ACCURACY,
 ) -> dict[str, list[float | None]]:
-    """Linear-interpolated percentiles of several columns, as a few driver scalars."""
+    """Linear-interpolated percentiles of several columns, as a few driver scalars.
+
+    All columns and probabilities share each scan: one for the sizes, one for the final values, and two
+    per narrowing round for the columns with very many distinct values.
+    """
     x = {name: F.col(name).cast("double") for name in wanted}
-    sizes = df.agg(
-        *[F.count(x[n]).alias(f"n_{n}") for n in wanted],
-        *[F.approx_count_distinct(x[n]).alias(f"d_{n}") for n in wanted],
+    slim = df.select(*[c.alias(n) for n, c in x.items()])
+    quoted = {n: F.col(f"`{n}`") for n in wanted}
+    sizes = slim.agg(
+        *[F.count(c).alias(f"n_{n}") for n, c in quoted.items()],
+        *[F.approx_count_distinct(c).alias(f"d_{n}") for n, c in quoted.items()],
     ).first()
-    found: dict[str, list[float | None]] = {}
-    small = [n for n in wanted if sizes[f"d_{n}"] <= max_distinct]
-    if small:
-        row = df.agg(*[F.percentile(x[n], list(wanted[n])).alias(n) for n in small]).first()
-        for name in small:
-            found[name] = list(row[name]) if row[name] is not None else [None] * len(wanted[name])
-    for name in wanted:
-        if name not in found:
-            found[name] = [
-                _narrowed_percentile(df, x[name], sizes[f"n_{name}"], p, max_distinct, accuracy) for p in wanted[name]
-            ]
-    return found
-
-
-def _narrowed_percentile(
-    df: DataFrame, x: Column, n: int, p: float, max_distinct: int, accuracy: int
-) -> float:
-    rank = (n - 1) * p
-    low, high, below, inside = -math.inf, math.inf, 0, n
-    slack = 2.0 / accuracy
-    while True:
-        here = F.when((x >= low) & (x <= high), x)
-        target = (rank - below) / max(inside - 1, 1)
-        lower, upper = df.agg(
-            F.percentile_approx(here, [max(target - slack, 0.0), min(target + slack, 1.0)], accuracy).alias("edge")
-        ).first()["edge"]
-        row = df.agg(
-            F.count_if(x < lower).alias("below"),
-            F.count_if((x >= lower) & (x <= upper)).alias("inside"),
-            F.approx_count_distinct(F.when((x >= lower) & (x <= upper), x)).alias("distinct"),
+    targets = [
+        _Bracket(quoted[n], (sizes[f"n_{n}"] - 1) * p, sizes[f"n_{n}"], sizes[f"d_{n}"], 2.0 / accuracy)
+        for n, ps in wanted.items()
+        for p in ps
+    ]
+    while wide := [t for t in targets if t.inside and t.distinct > max_distinct and t.low < t.high]:
+        edges = slim.agg(*[t.edges(accuracy).alias(f"e{i}") for i, t in enumerate(wide)]).first()
+        trial = [(t, *edges[f"e{i}"]) for i, t in enumerate(wide)]
+        counts = slim.agg(
+            *[F.count_if(t.x < lo).alias(f"b{i}") for i, (t, lo, _) in enumerate(trial)],
+            *[F.count_if(t.x.between(lo, hi)).alias(f"i{i}") for i, (t, lo, hi) in enumerate(trial)],
+            *[F.approx_count_distinct(F.when(t.x.between(lo, hi), t.x)).alias(f"d{i}") for i, (t, lo, hi) in enumerate(trial)],
         ).first()
-        holds = row["below"] <= math.floor(rank) and math.ceil(rank) < row["below"] + row["inside"]
-        if not holds:
-            slack *= 4
-            continue
-        stuck = (lower, upper) == (low, high)
-        low, high, below, inside = lower, upper, row["below"], row["inside"]
-        if row["distinct"] <= max_distinct:
-            break
-        slack = slack * 4 if stuck else 2.0 / accuracy
-    if low == high:
-        return float(low)
-    position = (rank - below) / max(inside - 1, 1)
-    return df.agg(F.percentile(F.when((x >= low) & (x <= high), x), position).alias("v")).first()["v"]
+        for i, (t, lo, hi) in enumerate(trial):
+            t.narrow(lo, hi, counts[f"b{i}"], counts[f"i{i}"], counts[f"d{i}"], 2.0 / accuracy)
+    open_targets = [t for t in targets if t.inside and t.low < t.high]
+    if open_targets:
+        row = slim.agg(*[t.value().alias(f"v{i}") for i, t in enumerate(open_targets)]).first()
+        for i, t in enumerate(open_targets):
+            t.low = t.high = row[f"v{i}"]
+    answers = iter(targets)
+    return {n: [t.low if t.inside else None for t in (next(answers) for _ in ps)] for n, ps in wanted.items()}
+
+
+@dataclass
+class _Bracket:
+    """A value range that surely holds one rank, with the rows below and inside it."""
+
+    x: Column
+    rank: float
+    inside: int
+    distinct: int
+    slack: float
+    low: float = -math.inf
+    high: float = math.inf
+    below: int = 0
+
+    @property
+    def _place(self) -> float:
+        return (self.rank - self.below) / max(self.inside - 1, 1)
+
+    @property
+    def _held(self) -> Column:
+        return self.x if self.low == -math.inf else F.when(self.x.between(self.low, self.high), self.x)
+
+    def edges(self, accuracy: int) -> Column:
+        """Sketched values a little before and after the rank."""
+        return F.percentile_approx(
+            self._held, [max(self._place - self.slack, 0.0), min(self._place + self.slack, 1.0)], accuracy
+        )
+
+    def narrow(self, low: float, high: float, below: int, inside: int, distinct: int, slack: float) -> None:
+        """Take the smaller range when the counts prove that it holds the rank; else look wider."""
+        if below <= math.floor(self.rank) and math.ceil(self.rank) < below + inside and (low, high) != (self.low, self.high):
+            self.low, self.high, self.below, self.inside, self.distinct, self.slack = low, high, below, inside, distinct, slack
+        else:
+            self.slack *= 4
+
+    def value(self) -> Column:
+        return F.percentile(self._held, self._place)
 
 
 def value_ranges(df: DataFrame, column: str, parts: int, into: str) -> tuple[DataFrame, list[float]]:

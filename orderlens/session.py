@@ -56,3 +56,13 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
     """Hint a broadcast only after counting the rows; a larger side is left to a shuffle join."""
     once = materialize(df)
     return F.broadcast(once) if once.limit(max_rows + 1).count() <= max_rows else once
+
+
+def spread(df: DataFrame, splits: int, *keys: str) -> DataFrame:
+    """Give a scan with fewer splits than cores (one big row group, say) to all cores.
+
+    A scan that already has enough splits stays as it is, so large tables are not shuffled. `keys` should
+    be close to unique per row: hashing them is cheaper than dealing rows out in turn.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if splits < cores else df

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from orderlens.operators import enrich
 from orderlens.operators.quality import evaluate_quality, iqr_fences, valid_sale
+from orderlens.session import spread
 
 PRICE_EDGES = (1000, 4000)
 MONEY = "decimal(18,2)"
@@ -19,14 +20,32 @@ DOMAINS = {
     "channel": ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"),
     "order_status": ("confirmed", "shipped", "delivered", "cancelled"),
 }
+_RULE_COLUMNS = (
+    "order_id", "user_id", "product_id", "line_number", "order_status", "channel", "country", "order_date", "quantity",
+    "unit_price", "price_difference", "revenue", "inventory", "rating",
+)
 _PRODUCT_NEEDS = set(enrich.PRODUCT_COLUMNS) | {
     "product_name", "product_match_flag", "price_difference", "price_difference_pct", "discount_percentage",
 }
 _USER_NEEDS = set(enrich.USER_COLUMNS) | {"user_match_flag"}
 
 
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+    "o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+_split_counts: dict[str, int] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A table by its known schema, so that no job has to read footers first."""
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def products(spark: SparkSession, folder: str) -> DataFrame:
@@ -77,9 +96,16 @@ def _raw_status() -> Column:
     )
 
 
+def _items(spark: SparkSession, folder: str) -> DataFrame:
+    items = table(spark, folder, "lineitem")
+    if folder not in _split_counts:
+        _split_counts[folder] = items.rdd.getNumPartitions()
+    return spread(items, _split_counts[folder], "l_orderkey", "l_linenumber", "l_partkey")
+
+
 def lines(spark: SparkSession, folder: str, declared: bool = True) -> DataFrame:
     """Order lines as they come out of the unnesting; `declared` adds the line count of each order."""
-    items, orders = table(spark, folder, "lineitem"), table(spark, folder, "orders")
+    items, orders = _items(spark, folder), table(spark, folder, "orders")
     if declared:
         counts = items.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_lines"))
         orders = orders.join(counts, F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("l_orderkey")
@@ -110,7 +136,7 @@ def carts(spark: SparkSession, folder: str) -> DataFrame:
 
     One document per line, so that no order has to be collected into one array.
     """
-    items, orders = table(spark, folder, "lineitem"), table(spark, folder, "orders")
+    items, orders = _items(spark, folder), table(spark, folder, "orders")
     product = F.struct(
         F.col("l_partkey").alias("id"),
         F.lit(None).cast("string").alias("title"),
@@ -143,13 +169,17 @@ def enriched(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
         buyers = enrich.prepare_users(users(spark, folder), unique=True)
     fact = lines(spark, folder, declared="reported_total_products" in needs)
     joined = enrich.join_dimensions(fact, catalog, buyers)
-    if catalog is not None:
+    if needs & {"valid_sales_flag", "data_quality_flag"}:
+        needs |= {"quantity", "unit_price", "revenue"}
+    if flags:
+        needs |= set(_RULE_COLUMNS)
+    if needs & {"catalog_price", "price_difference", "price_difference_pct"}:
         # half of the catalog carries the line price, so that both outcomes of the price rule occur
         joined = joined.withColumn(
             "catalog_price",
             F.when(F.col("product_id") % 2 == 0, F.col("unit_price")).otherwise(F.col("catalog_price").cast(MONEY)),
         )
-    derived = enrich.derive_columns(joined, price_edges=PRICE_EDGES, money=MONEY)
+    derived = enrich.derive_columns(joined, sorted(needs), price_edges=PRICE_EDGES, money=MONEY)
     if flags:
         derived = evaluate_quality(derived, DOMAINS, line_fences(spark, folder, "revenue", "quantity"))
     elif "valid_sales_flag" in needs:
