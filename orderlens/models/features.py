@@ -36,18 +36,19 @@ def dominant_value(value: Column, weight: Column, when: Column) -> Column:
 
 
 def build_customer_features(df: DataFrame) -> DataFrame:
-    """One row per customer with a valid sale. Both parts are combined on the map side before each shuffle."""
+    """One row per customer with a valid sale. Every part is combined on the map side before each shuffle."""
     sales = valid_sales(df).filter("user_id is not null")
     latest = valid_sales(df).agg(F.max("order_date").alias("_latest"))
 
+    # the attributes go apart: text in an aggregate's buffer would make Spark sort the lines
+    names = ("customer_name", "country", "retailer_type")
+    attributes = sales.select("user_id", *names).distinct().groupBy("user_id").agg(*[F.min(c).alias(c) for c in names])
+
     orders = sales.groupBy("user_id", "order_id", "order_date").agg(
-        F.sum("revenue").alias("_revenue"),
-        F.sum("quantity").alias("_units"),
-        *[F.min(c).alias(c) for c in ("customer_name", "country", "retailer_type")],  # constant per customer
+        F.sum("revenue").alias("_revenue"), F.sum("quantity").alias("_units")
     )
     span = F.datediff(F.max("order_date"), F.min("order_date"))
     totals = orders.groupBy("user_id").agg(
-        *[F.min(c).alias(c) for c in ("customer_name", "country", "retailer_type")],
         F.count_distinct("order_id").alias("order_count"),
         F.sum("_revenue").alias("_total"),
         F.sum("_units").cast("double").alias("units"),
@@ -71,7 +72,8 @@ def build_customer_features(df: DataFrame) -> DataFrame:
     total = F.col("_total").cast("double")
     top = lambda k: F.coalesce(F.col(f"_{k}")["v"], F.lit(NO_DATA))
     return (
-        totals.join(preferences, "user_id")
+        totals.join(attributes, "user_id")
+        .join(preferences, "user_id")
         .crossJoin(latest)  # one row
         .select(
             "user_id",

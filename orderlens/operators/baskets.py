@@ -57,11 +57,11 @@ def discount_correlations(sales: DataFrame) -> DataFrame:
 
 
 def discount_hypothesis(sales: DataFrame) -> DataFrame:
-    """Registered gross value against the value if the discount were not yet included."""
-    after = F.col("revenue").cast("double") * (1 - F.col("discount_percentage") / 100)
+    """Registered gross value against the value if the discount were not yet included (exact sums)."""
+    after = F.col("revenue") * (100 - F.col("discount_percentage").cast("decimal(9,4)"))
     return sales.agg(
         shown(F.sum("revenue")).alias("revenue_bruto_registrado"),
-        F.sum(after).alias("revenue_hipotetico_despues_descuento"),
+        (shown(F.sum(after)) / 100).alias("revenue_hipotetico_despues_descuento"),
     ).withColumn("diferencia_hipotetica", F.col("revenue_bruto_registrado") - F.col("revenue_hipotetico_despues_descuento"))
 
 

@@ -54,6 +54,16 @@ def period_change(series: DataFrame, period: Sequence[str], value: str = "revenu
     return series.withColumn(into, share(F.col(value) - before, before))
 
 
+def status_rates(df: DataFrame, pick=F.min_by, **names: str) -> DataFrame:
+    """Share of all orders whose first line has a status, one column per status.
+
+    The status becomes a number before it is aggregated, so that Spark can hash instead of sort.
+    """
+    flags = {s: F.col("order_status").eqNullSafe(s).cast("int") for s in names}
+    orders = df.groupBy("order_id").agg(*[pick(flag, F.col("line_number")).alias(f"_{s}") for s, flag in flags.items()])
+    return orders.agg(*[F.avg(f"_{s}").alias(name) for s, name in names.items()])
+
+
 def calculate_kpis(df: DataFrame) -> DataFrame:
     """The indicator row: sales totals, leaders, delivered rate over all orders, last monthly change."""
     sales = valid_sales(df)
@@ -63,8 +73,7 @@ def calculate_kpis(df: DataFrame) -> DataFrame:
         F.count_distinct("order_id").alias("orders"),
         F.count_distinct("user_id").alias("customers"),
     )
-    per_order = df.groupBy("order_id").agg(F.min_by("order_status", "line_number").alias("_status"))
-    delivered = per_order.agg(F.avg((F.col("_status").eqNullSafe("delivered")).cast("double")).alias("delivered_order_rate"))
+    delivered = status_rates(df, delivered="delivered_order_rate")
     monthly = period_change(
         sales.filter("year_month is not null").groupBy("year_month").agg(F.sum("revenue").alias("revenue")), ["year_month"]
     ).agg(F.max_by("change", "year_month").alias("latest_month_change"))
@@ -110,10 +119,7 @@ def insight_metrics(df: DataFrame, top: int = 10) -> DataFrame:
         )
     customers = sales.groupBy("user_id", "customer_name", "country").agg(F.sum("revenue").alias("revenue"))
     best = customers.orderBy(F.col("revenue").desc(), "user_id").limit(top).agg(F.sum("revenue").alias("_top"))
-    status = df.groupBy("order_id").agg(F.min_by("order_status", "line_number").alias("_s")).agg(
-        F.avg(F.col("_s").eqNullSafe("delivered").cast("double")).alias("delivered_rate"),
-        F.avg(F.col("_s").eqNullSafe("cancelled").cast("double")).alias("cancelled_rate"),
-    )
+    status = status_rates(df, delivered="delivered_rate", cancelled="cancelled_rate")
     months = period_change(
         cube.filter("year_month is not null").groupBy("year_month").agg(F.sum("revenue").alias("revenue")), ["year_month"]
     ).agg(F.max_by("change", "year_month").alias("latest_change"))

@@ -20,8 +20,11 @@ def first_known(c: str):
 
 
 def order_level(df: DataFrame) -> DataFrame:
-    """Order attributes, counts, sums, means, dominant category and price segment (lowest label on ties)."""
-    mean = lambda c: share(F.sum(c), F.count(c))
+    """Order attributes, counts, sums, means, dominant category and price segment (lowest label on ties).
+
+    Means add decimals, so that they do not depend on the order of the lines and equal means stay tied.
+    """
+    mean = lambda c: share(F.sum(F.col(c).cast("decimal(27,9)")), F.count(c))
     return (
         df.filter("order_id is not null")
         .groupBy("order_id")

@@ -19,7 +19,7 @@ from orderlens.fixed_values import (
 )
 from orderlens.functions.numbers import line_value, share
 from orderlens.operators.filters import semi_lines, with_defaults
-from orderlens.operators.kpis import shown, total
+from orderlens.operators.kpis import shown, status_rates, total
 from orderlens.session import materialize
 
 LEVEL_KEYS = ("user_id", "product_id", "category", "brand")
@@ -233,8 +233,9 @@ def kpi_board(df: DataFrame, scenario: str = "Original") -> DataFrame:
         total("_r").alias("_revenue"), total("_q").alias("_units"),
         F.count_distinct("order_id").alias("orders"), F.count_distinct("user_id").alias("customers"),
     )
-    delivered = full.groupBy("order_id").agg(F.max_by("order_status", "line_number").alias("_s")).agg(
-        F.coalesce(F.avg(F.col("_s").eqNullSafe("delivered").cast("double")), F.lit(0.0)).alias("delivered_share")
+    # here an order counts by its last line
+    delivered = status_rates(full, F.max_by, delivered="_delivered").select(
+        F.coalesce("_delivered", F.lit(0.0)).alias("delivered_share")
     )
     cube = full.groupBy("country", "channel", "category").agg(total("_r").alias("_r"))
     out = totals.crossJoin(delivered)  # one-row frames, here and below

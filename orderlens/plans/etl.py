@@ -38,6 +38,6 @@ def run(spark: SparkSession, landing: str, out: str) -> dict:
     collections = extract_all(spark, landing, f"{out}/raw")
     flagged, report = transform(collections)
     files.write_report(report.orderBy("orden").drop("orden"), f"{out}/quality/data_quality_report.csv")
-    validation = files.persist_orders(materialize(flagged), f"{out}/processed")
+    validation = files.persist_orders(flagged, f"{out}/processed")
     counts = {key: df.agg(F.count(F.lit(1))).first()[0] for key, df in collections.items()}
     return {**validation, "source_counts": counts}

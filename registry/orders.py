@@ -26,7 +26,7 @@ o0 AS (SELECT order_id, min(user_id) AS user_id, min(order_date) AS order_date,
     min(country) AS country, min(city) AS city, min(retailer_type) AS retailer_type, min(age) AS age, count(line_number) AS line_count,
     coalesce(sum(quantity), 0) AS total_quantity, CAST(coalesce(sum(revenue), 0) AS DOUBLE) AS order_revenue,
     CAST(sum(unit_price) AS DOUBLE) / count(unit_price) AS avg_unit_price, sum(discount_percentage) / count(discount_percentage) AS avg_discount,
-    sum(inventory) / nullif(count(inventory), 0) AS avg_inventory, sum(rating) / nullif(count(rating), 0) AS avg_rating FROM e GROUP BY order_id),
+    sum(inventory) / nullif(count(inventory), 0) AS avg_inventory, CAST(sum(CAST(rating AS DECIMAL(18,9))) AS DOUBLE) / nullif(count(rating), 0) AS avg_rating FROM e GROUP BY order_id),
 o AS (SELECT o0.*, dominant_category, dominant_price_segment, CAST(order_status = 'cancelled' AS INTEGER) AS cancelled_flag,
     CAST(month(order_date) AS INTEGER) AS month, CAST(quarter(order_date) AS INTEGER) AS quarter
     FROM o0 LEFT JOIN m_category c ON c.k = order_id LEFT JOIN m_price_segment p ON p.k = order_id)"""
@@ -36,9 +36,9 @@ def _orders(spark, sf):
     return order_level.order_level(star.enriched(spark, sf, *_LEVEL_COLUMNS))
 
 
-@register("order_level", lines_with(_ORDERS, "SELECT * EXCLUDE (avg_rating), round(avg_rating, 6) AS avg_rating FROM o"))
+@register("order_level", lines_with(_ORDERS, "SELECT * FROM o"))
 def order_level_table(spark, sf):
-    return rounded(_orders(spark, sf), 6, "avg_rating")
+    return _orders(spark, sf)
 
 
 _RATE = "count(order_id) AS pedidos, CAST(sum(cancelled_flag) AS BIGINT) AS cancelados, round(avg(cancelled_flag), 6) AS tasa_cancelacion, round(avg(cancelled_flag) * 100, 4) AS tasa_cancelacion_pct"

@@ -423,15 +423,15 @@ def discount_correlations(spark, sf):
 
 @register(
     "discount_hypothesis",
-    lines(
-        "SELECT CAST(sum(revenue) AS DOUBLE) AS revenue_bruto_registrado, round(sum(CAST(revenue AS DOUBLE) * (1 - discount_percentage / 100)), 2) "
-        "AS revenue_hipotetico_despues_descuento, round(CAST(sum(revenue) AS DOUBLE) - sum(CAST(revenue AS DOUBLE) * (1 - "
-        "discount_percentage / 100)), 2) AS diferencia_hipotetica FROM sales"
+    lines_with(
+        "d AS (SELECT CAST(sum(revenue) AS DOUBLE) AS a, CAST(sum(revenue * (100 - CAST(discount_percentage AS DECIMAL(9,4)))) AS DOUBLE) / 100 "
+        "AS b FROM sales)",
+        "SELECT a AS revenue_bruto_registrado, round(b, 4) AS revenue_hipotetico_despues_descuento, round(a - b, 4) AS diferencia_hipotetica FROM d",
     ),
 )
 def discount_hypothesis(spark, sf):
     out = baskets.discount_hypothesis(star.sales(spark, sf, "discount_percentage", "revenue"))
-    return rounded(out, 2, "revenue_hipotetico_despues_descuento", "diferencia_hipotetica")
+    return rounded(out, 4, "revenue_hipotetico_despues_descuento", "diferencia_hipotetica")
 
 
 @register(
