@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from orderlens.fixed_values import STATUSES
 from orderlens.functions.numbers import percent, share
 from orderlens.operators.filters import valid_sales
+from orderlens.session import materialize
 
 
 def total(c: str) -> Column:
@@ -24,6 +25,20 @@ def shown(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("double")
 
 
+DIMENSIONS = ("country", "channel", "category")
+
+
+def sales_cube(sales: DataFrame, *keys: str) -> DataFrame:
+    """Revenue and units per combination of reporting labels, computed once.
+
+    It has one row per combination, so everything that rolls it up is free of the lines.
+    """
+    measures = [F.sum("revenue").alias("revenue")]
+    if "quantity" in sales.columns:
+        measures.append(F.sum("quantity").alias("quantity"))
+    return materialize(sales.groupBy(*keys).agg(*measures))
+
+
 def _leader_of(cube: DataFrame, dimension: str) -> DataFrame:
     """One row: label with the largest value (ties by label) and that value. A null label takes part."""
     sums = cube.groupBy(dimension).agg(F.sum("revenue").alias("_v"))
@@ -33,9 +48,8 @@ def _leader_of(cube: DataFrame, dimension: str) -> DataFrame:
     )
 
 
-def leaders(df: DataFrame, dimensions: Sequence[str] = ("country", "channel", "category")) -> DataFrame:
-    """One row: leading label and its share per dimension, from one pre-aggregated cube of the sales."""
-    cube = valid_sales(df).groupBy(*dimensions).agg(F.sum("revenue").alias("revenue"))
+def cube_leaders(cube: DataFrame, dimensions: Sequence[str] = DIMENSIONS) -> DataFrame:
+    """One row: leading label and its share per dimension."""
     out = cube.agg(F.sum("revenue").alias("_total"))
     for dimension in dimensions:
         out = out.crossJoin(_leader_of(cube, dimension))  # one-row frames
@@ -48,6 +62,11 @@ def leaders(df: DataFrame, dimensions: Sequence[str] = ("country", "channel", "c
     )
 
 
+def leaders(df: DataFrame, dimensions: Sequence[str] = DIMENSIONS) -> DataFrame:
+    """Leading label and its share of the valid sales per dimension."""
+    return cube_leaders(sales_cube(valid_sales(df), *dimensions), dimensions)
+
+
 def period_change(series: DataFrame, period: Sequence[str], value: str = "revenue", into: str = "change") -> DataFrame:
     """Relative change against the previous observed period. `series` has one row per period."""
     before = F.lag(value).over(Window.orderBy(*period))
@@ -64,20 +83,21 @@ def status_rates(df: DataFrame, pick=F.min_by, **names: str) -> DataFrame:
     return orders.agg(*[F.avg(f"_{s}").alias(name) for s, name in names.items()])
 
 
+def _latest_change(cube: DataFrame, into: str) -> DataFrame:
+    """One row: change of the last observed month."""
+    months = cube.filter("year_month is not null").groupBy("year_month").agg(F.sum("revenue").alias("revenue"))
+    return period_change(months, ["year_month"]).agg(F.max_by("change", "year_month").alias(into))
+
+
 def calculate_kpis(df: DataFrame) -> DataFrame:
     """The indicator row: sales totals, leaders, delivered rate over all orders, last monthly change."""
     sales = valid_sales(df)
-    totals = sales.agg(
-        F.sum("revenue").alias("_revenue"),
-        F.sum("quantity").alias("_units"),
-        F.count_distinct("order_id").alias("orders"),
-        F.count_distinct("user_id").alias("customers"),
-    )
+    cube = sales_cube(sales, *DIMENSIONS, "year_month")
+    totals = cube.agg(F.sum("revenue").alias("_revenue"), F.sum("quantity").alias("_units"))
+    distinct = sales.agg(F.count_distinct("order_id").alias("orders"), F.count_distinct("user_id").alias("customers"))
     delivered = status_rates(df, delivered="delivered_order_rate")
-    monthly = period_change(
-        sales.filter("year_month is not null").groupBy("year_month").agg(F.sum("revenue").alias("revenue")), ["year_month"]
-    ).agg(F.max_by("change", "year_month").alias("latest_month_change"))
-    row = totals.crossJoin(leaders(df)).crossJoin(delivered).crossJoin(monthly)  # one-row frames
+    row = totals.crossJoin(distinct).crossJoin(cube_leaders(cube)).crossJoin(delivered)  # one-row frames
+    row = row.crossJoin(_latest_change(cube, "latest_month_change"))
     return row.select(
         shown("_revenue").alias("total_revenue"),
         shown("_units").alias("units_sold"),
@@ -104,7 +124,7 @@ def ranked_sums(sales: DataFrame, dimension: str) -> DataFrame:
 def insight_metrics(df: DataFrame, top: int = 10) -> DataFrame:
     """Numbers behind the findings: first, second and last label per dimension, concentration, rates."""
     sales = valid_sales(df)
-    cube = sales.groupBy("country", "channel", "category", "year_month").agg(F.sum("revenue").alias("revenue"))
+    cube = sales_cube(sales, *DIMENSIONS, "year_month")
     out = cube.agg(F.sum("revenue").alias("_total"))
     for d in ("country", "channel", "category"):
         ranked = ranked_sums(cube, d)
@@ -120,10 +140,7 @@ def insight_metrics(df: DataFrame, top: int = 10) -> DataFrame:
     customers = sales.groupBy("user_id", "customer_name", "country").agg(F.sum("revenue").alias("revenue"))
     best = customers.orderBy(F.col("revenue").desc(), "user_id").limit(top).agg(F.sum("revenue").alias("_top"))
     status = status_rates(df, delivered="delivered_rate", cancelled="cancelled_rate")
-    months = period_change(
-        cube.filter("year_month is not null").groupBy("year_month").agg(F.sum("revenue").alias("revenue")), ["year_month"]
-    ).agg(F.max_by("change", "year_month").alias("latest_change"))
-    out = out.crossJoin(best).crossJoin(status).crossJoin(months)  # one-row frames
+    out = out.crossJoin(best).crossJoin(status).crossJoin(_latest_change(cube, "latest_change"))  # one-row frames
     return out.select(
         *[
             c

@@ -229,16 +229,14 @@ def kpi_board(df: DataFrame, scenario: str = "Original") -> DataFrame:
     """The ten cards of the dashboard for one scenario, over all selected lines (null measures count as zero)."""
     label, q, r = next(s for s in SCENARIOS if s[0] == scenario)
     full = with_defaults(df, FALLBACK).withColumns({"_q": F.col(q).cast("double"), "_r": F.col(r)})
-    totals = full.agg(
-        total("_r").alias("_revenue"), total("_q").alias("_units"),
-        F.count_distinct("order_id").alias("orders"), F.count_distinct("user_id").alias("customers"),
-    )
+    cube = materialize(full.groupBy("country", "channel", "category").agg(total("_r").alias("_r"), total("_q").alias("_q")))
+    totals = cube.agg(total("_r").alias("_revenue"), total("_q").alias("_units"))
+    distinct = full.agg(F.count_distinct("order_id").alias("orders"), F.count_distinct("user_id").alias("customers"))
     # here an order counts by its last line
     delivered = status_rates(full, F.max_by, delivered="_delivered").select(
         F.coalesce("_delivered", F.lit(0.0)).alias("delivered_share")
     )
-    cube = full.groupBy("country", "channel", "category").agg(total("_r").alias("_r"))
-    out = totals.crossJoin(delivered)  # one-row frames, here and below
+    out = totals.crossJoin(distinct).crossJoin(delivered)  # one-row frames, here and below
     for d in ("country", "channel", "category"):
         sums = cube.groupBy(F.coalesce(d, F.lit(NO_DATA)).alias("label")).agg(F.sum("_r").alias("_v"))
         out = out.crossJoin(
@@ -258,9 +256,12 @@ def board_groups(df: DataFrame, scenario: str = "Original", top: int = 10) -> Da
     _, q, r = next(s for s in SCENARIOS if s[0] == scenario)
     full = with_defaults(df, FALLBACK)
     name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(NO_DATA))
-    # every view rolls up one of three pre-aggregated frames
-    cube = full.groupBy(*[name(c).alias(c) for c in ("country", "channel", "category", "price_segment", "year_month")]).agg(
-        total(r).alias("_r"), F.coalesce(F.sum(F.col(q).cast("double")), F.lit(0.0)).alias("_q")
+    # the label views roll up one small cube; products, customers and the matrix keep their own keys
+    labels = ("country", "channel", "category", "price_segment", "year_month")
+    cube = materialize(
+        full.groupBy(*[name(c).alias(c) for c in labels]).agg(
+            total(r).alias("_r"), F.coalesce(F.sum(F.col(q).cast("double")), F.lit(0.0)).alias("_q")
+        )
     )
 
     def view(title: str, column: str, value: str) -> DataFrame:
