@@ -71,7 +71,7 @@ def group_comparison(orders: DataFrame, variables: Sequence[str] = NUMERIC_VARIA
     side = {
         f"{v}|{k}": F.when(flag == k, F.col(v).cast("double")) for v in variables for k in (1, 0)
     }
-    split = orders.select(flag, *[c.alias(n) for n, c in side.items()])
+    split = materialize(orders.select(flag, *[c.alias(n) for n, c in side.items()]))
     medians = exact_percentiles(split.drop("cancelled_flag"), {n: [0.5] for n in side})
     aggregates = []
     for v in variables:
@@ -98,7 +98,7 @@ def group_comparison(orders: DataFrame, variables: Sequence[str] = NUMERIC_VARIA
 
 def numeric_tests(orders: DataFrame, variables: Sequence[str] = NUMERIC_VARIABLES) -> DataFrame:
     """The whole numeric table with p values; one row per variable."""
-    once = materialize(orders.select("cancelled_flag", *variables))
+    once = materialize(orders.select("cancelled_flag", *variables))  # one row per order
     ranks = {r["variable"]: r for r in mann_whitney(once, variables).collect()}
     rows = []
     for r in group_comparison(once, variables).collect():

@@ -10,6 +10,7 @@ from orderlens.functions.numbers import band, quantile_band, share
 from orderlens.operators.integrity import order_product_pairs
 from orderlens.operators.kpis import shown, total
 from orderlens.operators.ordered import exact_percentiles
+from orderlens.session import materialize
 
 ORDER_ATTRIBUTES = ("user_id", "order_date", "order_status", "channel", "country", "city", "retailer_type", "age")
 
@@ -61,6 +62,7 @@ def cancellation_rate(orders: DataFrame, variable: str) -> DataFrame:
 
 def cancellation_by_quantity_band(orders: DataFrame) -> DataFrame:
     """Rates by quartile of the order's units; equal quantities always share a band."""
+    orders = materialize(orders.select("order_id", "total_quantity", "cancelled_flag"))
     edges = exact_percentiles(orders, {"total_quantity": [0.0, 0.25, 0.5, 0.75, 1.0]})["total_quantity"]
     label, _ = quantile_band(F.col("total_quantity"), [e for e in edges if e is not None], QUANTITY_BAND_LABELS)
     return cancellation_rate(orders.withColumn("quantity_band", label), "quantity_band")

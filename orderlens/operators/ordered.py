@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from orderlens.session import materialize
 
-# A percentile buffer is a value -> count map: this many distinct values is a few tens of MB.
-MAX_DISTINCT = 1_000_000
+# A percentile buffer is a value -> count map that one task merges: beyond this size narrowing is faster.
+MAX_DISTINCT = 50_000
 SKETCH_ACCURACY = 10_000
 ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 2_000

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from orderlens.operators.enrich import LINE_COLUMNS, PRODUCT_COLUMNS, USER_COLUMNS
 from orderlens.operators.shape import column_values
+from orderlens.session import materialize
 
 LISTED_VALUES = 12
 
@@ -44,7 +45,7 @@ def data_dictionary(df: DataFrame, listed: int = LISTED_VALUES) -> DataFrame:
         [(f.name, _source(f.name), f.dataType.simpleString()) for f in df.schema.fields],
         "variable string, fuente string, tipo string",
     )
-    values = column_values(df, df.columns)
+    values = materialize(column_values(df, df.columns))  # read for the counts and for the lists
     counted = values.groupBy("variable").agg(
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("rows"))), F.lit(0)).alias("nulos"),
         F.count("value").alias("distintos"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,7 +40,7 @@ def build_session(app: str = "orderlens", master: str | None = None, **settings:
 def shared_folder(spark: SparkSession) -> str | None:
     """Folder for checkpoints: the cluster's own setting, or a scratch folder in local mode only."""
     context = spark.sparkContext
-    folder = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None and context.master.startswith("local"):
         folder = tempfile.mkdtemp(prefix="orderlens-")
     if folder is not None and context.getCheckpointDir() is None:
@@ -52,6 +53,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True) if shared_folder(df.sparkSession) else df
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The rows as a written table in the shared folder, for wide frames that several scans read in part."""
+    folder = shared_folder(df.sparkSession)
+    if folder is None:
+        return df
+    path = f"{folder}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only after counting the rows; a larger side is left to a shuffle join."""
     once = materialize(df)

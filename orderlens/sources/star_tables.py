@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from orderlens.operators import enrich
 from orderlens.operators.quality import evaluate_quality, iqr_fences, valid_sale
-from orderlens.session import spread
+from orderlens.session import spread, stored
 
 PRICE_EDGES = (1000, 4000)
 MONEY = "decimal(18,2)"
@@ -181,15 +181,16 @@ def enriched(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
         )
     derived = enrich.derive_columns(joined, sorted(needs), price_edges=PRICE_EDGES, money=MONEY)
     if flags:
-        derived = evaluate_quality(derived, DOMAINS, line_fences(spark, folder, "revenue", "quantity"))
+        derived = stored(derived)  # the fences, the key check and the flags each read a part of it
+        derived = evaluate_quality(derived, DOMAINS, iqr_fences(derived, ["revenue", "quantity"]))
     elif "valid_sales_flag" in needs:
         derived = derived.withColumn("valid_sales_flag", valid_sale())
     return derived.select(*wanted)
 
 
-def line_fences(spark: SparkSession, folder: str, *columns: str):
-    """IQR fences from a frame pruned to the columns measured."""
-    return iqr_fences(enriched(spark, folder, *columns), list(columns))
+def master(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """The enriched line written once, as the ETL job leaves it, for operators that read it several times."""
+    return stored(enriched(spark, folder, *columns))
 
 
 def sales(spark: SparkSession, folder: str, *columns: str) -> DataFrame:

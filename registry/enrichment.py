@@ -221,7 +221,7 @@ def order_line_check(spark, sf):
 )
 def integrity_summary(spark, sf):
     return integrity.integrity_summary(
-        star.enriched(spark, sf, *integrity.LINE_KEY, "reported_total_products", "unit_price", "quantity")
+        star.master(spark, sf, *integrity.LINE_KEY, "reported_total_products", "unit_price", "quantity")
     )
 
 
@@ -341,11 +341,11 @@ _FLAGS = "m AS (SELECT e.*, " + ", ".join(f"coalesce({t}, FALSE) AS f{i}" for i,
     ),
 )
 def quality_report(spark, sf):
-    df = star.enriched(
+    df = star.master(
         spark, sf, *integrity.LINE_KEY, "user_id", "quantity", "unit_price", "country", "channel", "order_status", "order_date",
         "product_match_flag", "user_match_flag", "price_difference", "revenue", "inventory", "rating", "catalog_duplicate_flag",
     )
-    return quality.quality_report(df, star.DOMAINS, star.line_fences(spark, sf, "revenue", "quantity"))
+    return quality.quality_report(df, star.DOMAINS)
 
 
 @register(
@@ -503,7 +503,7 @@ def _dictionary_sql(c: str) -> str:
 
 @register("data_dictionary", lines(" UNION ALL ".join(_dictionary_sql(c) for c in _PROFILED)))
 def data_dictionary(spark, sf):
-    return profile.data_dictionary(star.enriched(spark, sf, *_PROFILED))
+    return profile.data_dictionary(star.master(spark, sf, *_PROFILED))
 
 
 @register(

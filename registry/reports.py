@@ -43,7 +43,7 @@ st AS (SELECT order_id, min(order_status) AS s FROM e GROUP BY 1)"""
     ),
 )
 def calculate_kpis(spark, sf):
-    df = star.enriched(
+    df = star.master(
         spark, sf, "order_id", "line_number", "user_id", "order_status", "country", "channel", "category", "year_month",
         "quantity", "revenue", "valid_sales_flag",
     )
@@ -97,7 +97,7 @@ def _ranked(d: str) -> str:
     ),
 )
 def insight_metrics(spark, sf):
-    df = star.enriched(
+    df = star.master(
         spark, sf, "order_id", "line_number", "user_id", "customer_name", "order_status", "country", "channel", "category",
         "year_month", "revenue", "valid_sales_flag",
     )
@@ -471,7 +471,7 @@ def _report_sql(c: str) -> str:
     ),
 )
 def iqr_report(spark, sf):
-    out = outliers.iqr_report(star.enriched(spark, sf, *_STUDY), _STUDY)
+    out = outliers.iqr_report(star.master(spark, sf, *_STUDY), _STUDY)
     return rounded(out, 6, "q1", "q3", "iqr", "limite_inferior", "limite_superior", "porcentaje")
 
 
@@ -482,8 +482,7 @@ _MEASURED = ("unit_price", "revenue")
 
 
 def _flagged(spark, sf, *columns):
-    df = star.enriched(spark, sf, *dict.fromkeys((*columns, *_MEASURED)))
-    return outliers.flag_outliers(df, _MEASURED, star.line_fences(spark, sf, *_MEASURED))
+    return outliers.flag_outliers(star.master(spark, sf, *dict.fromkeys((*columns, *_MEASURED))), _MEASURED)
 
 
 @register(
@@ -609,4 +608,4 @@ def revenue_distribution(spark, sf):
     ),
 )
 def price_box_statistics(spark, sf):
-    return rounded(outliers.box_statistics(star.enriched(spark, sf, "unit_price"), "unit_price"), 6, "q1", "mediana", "q3")
+    return rounded(outliers.box_statistics(star.master(spark, sf, "unit_price"), "unit_price"), 6, "q1", "mediana", "q3")

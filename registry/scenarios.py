@@ -42,7 +42,7 @@ _NEEDED = ("user_id", "product_id", "category", "brand", "quantity", "unit_price
 
 
 def _scenarios(spark, sf, *columns):
-    return scenarios.build_retrospective_scenarios(star.enriched(spark, sf, *dict.fromkeys((*columns, *_NEEDED))))
+    return scenarios.build_retrospective_scenarios(star.master(spark, sf, *dict.fromkeys((*columns, *_NEEDED))))
 
 
 @register(
@@ -155,7 +155,7 @@ _BOARD = (
 
 def _selection(spark, sf):
     """All lines of one dashboard selection (a country and a price segment)."""
-    return filters.selected(star.enriched(spark, sf, *_BOARD, "user_id", "quantity", "revenue"), country="ASIA", price_segment="Premium", channel=None)
+    return filters.selected(star.master(spark, sf, *_BOARD, "user_id", "quantity", "revenue"), country="ASIA", price_segment="Premium", channel=None)
 
 
 _SELECTED = "w AS (SELECT * FROM e WHERE country = 'ASIA' AND price_segment = 'Premium')"

@@ -130,3 +130,19 @@ def test_spearman_uses_complete_pairs(spark):
             both = data[[p, q]].dropna() if p != q else data[[p]].dropna()
             want = 1.0 if p == q else both[p].rank().corr(both[q].rank())
             assert got[p, q] == pytest.approx(want, abs=1e-12)
+
+
+def test_checked_broadcast_counts_first(spark):
+    from orderlens.session import checked_broadcast
+
+    big, small = spark.range(100), spark.range(5)
+    plan = lambda right: big.join(right, "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in plan(checked_broadcast(small, 10)) and "broadcast" not in plan(checked_broadcast(small, 3))
+
+
+def test_shared_folder_follows_the_session(spark, tmp_path):
+    from orderlens.session import shared_folder, stored
+
+    assert shared_folder(spark) == spark.sparkContext.getCheckpointDir()
+    frame = spark.range(20).withColumn("d", F.col("id").cast("decimal(18,4)"))
+    assert stored(frame).schema == frame.schema and stored(frame).count() == 20
