@@ -26,7 +26,8 @@ def spark(tmp_path_factory):
         },
     )
     session.sparkContext.setLogLevel("ERROR")
-    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
+    if session.conf.get("spark.checkpoint.dir", None) is None:
+        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
     return session
 
 

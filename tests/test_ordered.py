@@ -143,6 +143,7 @@ def test_checked_broadcast_counts_first(spark):
 def test_shared_folder_follows_the_session(spark, tmp_path):
     from orderlens.session import shared_folder, stored
 
-    assert shared_folder(spark) == spark.sparkContext.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert shared_folder(spark) == (named or spark.sparkContext.getCheckpointDir())
     frame = spark.range(20).withColumn("d", F.col("id").cast("decimal(18,4)"))
     assert stored(frame).schema == frame.schema and stored(frame).count() == 20
