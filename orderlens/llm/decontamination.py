@@ -11,9 +11,11 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -79,29 +81,44 @@ def _meetings(sketches: Sketches, gram: np.ndarray, text: np.ndarray) -> np.ndar
     return np.unique(np.stack([np.repeat(at, n), items]), axis=1).T
 
 
-def _search(docs: DataFrame, ids: list[int | None], texts: list[str | None], shingle: int, containment: float) -> DataFrame:
-    model = docs.sparkSession.sparkContext.broadcast((ids, *sketch(texts, shingle, containment)))  # one block
+Block = tuple[list[int | None], list[set[bytes]], list[int], list[Sketches]]
 
+
+def _found(column: pa.Array, block: Block, containment: float) -> Iterator[tuple[int, int | None, int, int]]:
+    """Row of the column, item, the item's shingles and those that the text holds, for every verified meeting."""
+    item_ids, sets, lengths, sketches = block
+    for first, data, offsets in w.pieces(column):
+        split = w.split(data, offsets)
+        hashes, text = split.hashes(_LOWER), split.text
+        grams = {k: w.grams(hashes, text, k) for k in {s.length for s in sketches}}
+        met = [_meetings(s, grams[s.length][0], text[grams[s.length][1]]) for s in sketches if len(grams[s.length][0])]
+        mine, words, last = {}, [], -1
+        for t, i in sorted(set(map(tuple, np.concatenate(met).tolist()))) if met else []:
+            if t != last:
+                mine, words, last = {}, _tokens(column[first + t].as_py()), t
+            k = lengths[i]
+            if k not in mine:
+                mine[k] = _shingles(words, k)
+            shared = len(sets[i] & mine[k])
+            if shared >= containment * len(sets[i]) - 1e-9:
+                yield first + t, item_ids[i], len(sets[i]), shared
+
+
+def _blocks(benchmark: DataFrame, shingle: int, containment: float, block_words: int) -> Iterator[Broadcast]:
+    """The items, block by block as broadcasts; at least one block."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, math.ceil(total / (6 * block_words)))
+    for block in range(blocks):
+        rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()  # one block
+        made = sketch([r["text"] for r in rows], shingle, containment)
+        yield benchmark.sparkSession.sparkContext.broadcast(([r["item_id"] for r in rows], *made))
+
+
+def _search(docs: DataFrame, block: Broadcast, containment: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        item_ids, sets, lengths, sketches = model.value
         for batch in batches:
-            rows = []
-            column = batch.column("text")
-            for first, data, offsets in w.pieces(column):
-                split = w.split(data, offsets)
-                hashes, text = split.hashes(_LOWER), split.text
-                grams = {k: w.grams(hashes, text, k) for k in {s.length for s in sketches}}
-                met = [_meetings(s, grams[s.length][0], text[grams[s.length][1]]) for s in sketches if len(grams[s.length][0])]
-                mine, last = {}, -1
-                for t, i in sorted(set(map(tuple, np.concatenate(met).tolist()))) if met else []:
-                    if t != last:
-                        mine, words, last = {}, _tokens(column[first + t].as_py()), t
-                    k = lengths[i]
-                    if k not in mine:
-                        mine[k] = _shingles(words, k)
-                    shared = len(sets[i] & mine[k])
-                    if shared >= containment * len(sets[i]) - 1e-9:
-                        rows.append((first + t, item_ids[i], len(sets[i]), shared))
+            rows = list(_found(batch.column("text"), block.value, containment))
             at, found, size, shared = zip(*rows, strict=True) if rows else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(pa.array(at, pa.int64())), *(pa.array(x, pa.int64()) for x in (found, size, shared))],
@@ -123,12 +140,25 @@ def contaminated(
     columns are ignored; empty tables give no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, math.ceil(total / (6 * block_words)))
-    found = None
-    for block in range(blocks):
-        rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()  # one block
-        part = _search(docs, [r["item_id"] for r in rows], [r["text"] for r in rows], shingle, containment)
-        found = part if found is None else found.unionByName(part)
-    return found.withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
+    found = [_search(docs, b, containment) for b in _blocks(benchmark, shingle, containment, block_words)]
+    return reduce(DataFrame.unionByName, found).withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
+
+
+def clean_documents(
+    docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE, containment: float = CONTAINMENT, block_words: int = BLOCK_WORDS
+) -> DataFrame:
+    """The rows of docs, with all their columns, that hold no item."""
+    at = docs.columns.index("text")
+
+    def without(block: Broadcast):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keep = np.ones(len(batch), bool)
+                keep[[t for t, *_ in _found(batch.column(at), block.value, containment)]] = False
+                yield batch.filter(pa.array(keep))
+
+        return run
+
+    for block in _blocks(benchmark, shingle, containment, block_words):
+        docs = docs.mapInArrow(without(block), docs.schema)
+    return docs

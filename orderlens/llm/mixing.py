@@ -56,41 +56,102 @@ def _copies(sizes: DataFrame, targets: DataFrame, most: int) -> DataFrame:
     )
 
 
-def _gaps(drawn: DataFrame) -> DataFrame:
-    """_source, _gap: the words that each source still lacks."""
-    used = F.sum((F.col("whole") + F.col("one")) * F.col("size"))
-    return drawn.groupBy("source").agg((F.max("target") - used).alias("_gap")).withColumnRenamed("source", "_source")
+def _ranked(docs: DataFrame, seed: str) -> DataFrame:
+    """The rows of docs with _size, _class and _u, a number between 0 and 1 that depends on the id alone."""
+    text = F.col("text").cast("string")
+    key = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+    number = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), key).cast("binary")), 1, 13), 16, 10).cast("double")
+    return docs.withColumns({"_size": word_count(text), "_u": (number + 0.5) / float(1 << 52)}).withColumn("_class", F.length(F.bin("_size")))
+
+
+def _rank(u: Column, share: Column, size: Column) -> Column:
+    """Odds ratio q = odds(u) / odds(share) as q / (1 + q), which keeps its order and lies between 0 and 1."""
+    return F.when((share > 0) & (size > 0), u * (1 - share) / (u * (1 - share) + (1 - u) * share))
+
 
+def _drawn(draws: Column, size: Column, rank: Column) -> Column:
+    """Whether one of the draws takes a document: it fits the gap, and its rank lies before the cut."""
+    bin_ = F.floor(rank * (BINS * BINS))
+    return F.coalesce(F.exists(draws, lambda d: (size <= d["gap"]) & ((bin_ < d["bin"]) | (rank <= d["rank"]))), F.lit(False))
 
-def _draw(rows: DataFrame) -> DataFrame:
-    """Set `one` for the documents of lowest rank that fit together into their source's gap, up to the first that doesn't.
 
-    Sums over BINS * BINS ranges of ranks tell in which range a source's cut falls; only that range is put in order.
+def _same(column: str, other: str) -> Column:
+    return F.col(column).eqNullSafe(F.col(other))
+
+
+def _draw(rows: DataFrame, draws: DataFrame) -> DataFrame:
+    """One draw more for each source: the documents of lowest rank that fit together into the words that it still lacks,
+    up to the first that doesn't. rows: source, size, rank, whole, target. draws: source, draws so far.
+
+    Sums over BINS * BINS ranges of ranks tell in which range the cut falls; only that range is put in order.
     """
-    gaps = stored(_gaps(rows))
-    rows = rows.join(gaps, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    free = F.col("rank").isNotNull() & (F.col("one") == 0) & (F.col("size") <= F.col("_gap"))
+    rows = rows.join(draws.withColumnRenamed("source", "_source"), _same("source", "_source")).drop("_source")
+    taken = _drawn(F.col("draws"), F.col("size"), F.col("rank"))
+    used = F.sum((F.col("whole") + taken.cast("long")) * F.col("size"))
+    gaps = stored(rows.groupBy("source").agg((F.max("target") - used).alias("gap"))).withColumnRenamed("source", "_source")
+    free = rows.filter(F.col("rank").isNotNull() & ~taken).join(gaps, _same("source", "_source")).filter("size <= gap").select(
+        "source", "size", "rank", "gap", F.floor(F.col("rank") * (BINS * BINS)).alias("bin")
+    )
     coarse = F.floor(F.col("bin") / BINS).alias("coarse")
-    bins = rows.filter(free).groupBy("source", "bin").agg(F.sum("size").alias("words"))
+    bins = free.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.max("gap").alias("gap"))
     heads = bins.groupBy("source", coarse).agg(F.sum("words").alias("words"))
     above = Window.partitionBy("source").orderBy("coarse").rowsBetween(Window.unboundedPreceding, -1)  # BINS rows at most
     heads = heads.select(F.col("source").alias("_source"), F.col("coarse").alias("_coarse"), F.coalesce(F.sum("words").over(above), F.lit(0)).alias("_head"))
     inside = Window.partitionBy("source", "coarse").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)  # BINS rows at most
     placed = bins.withColumn("coarse", coarse).withColumn("_inside", F.coalesce(F.sum("words").over(inside), F.lit(0)))
-    placed = placed.join(heads, F.col("source").eqNullSafe(F.col("_source")) & (F.col("coarse") == F.col("_coarse"))).select(
-        "source", "bin", "words", (F.col("_head") + F.col("_inside")).alias("ahead")
+    placed = placed.join(heads, _same("source", "_source") & _same("coarse", "_coarse")).withColumn("ahead", F.col("_head") + F.col("_inside"))
+    cut = stored(placed.filter("ahead + words > gap").groupBy("source").agg(F.min(F.struct("bin", "ahead")).alias("cut")))
+
+    near = free.join(cut.withColumnRenamed("source", "_source"), _same("source", "_source") & (F.col("bin") == F.col("cut.bin")))
+    near = near.withColumn("sum", F.col("cut.ahead") + F.sum("size").over(Window.partitionBy("source").orderBy("rank")))
+    last = near.filter("sum <= gap").groupBy("source").agg(F.max("rank").alias("rank")).withColumnRenamed("source", "_last")
+    found = draws.join(gaps, _same("source", "_source")).drop("_source").join(cut.withColumnRenamed("source", "_source"), _same("source", "_source"), "left")
+    found = found.join(last, _same("source", "_last"), "left")
+    new = F.struct(
+        F.col("gap"), F.coalesce("cut.bin", F.lit(BINS * BINS + 1)).cast("long").alias("bin"), F.coalesce("rank", F.lit(-1.0)).alias("rank")
     )
-    over = placed.join(gaps, F.col("source").eqNullSafe(F.col("_source"))).filter("ahead + words > _gap")
-    cut = stored(over.groupBy("source").agg(F.min(F.struct("bin", "ahead")).alias("cut"))).withColumnRenamed("source", "_source")
+    return stored(found.select("source", F.concat("draws", F.array(new)).alias("draws")))
+
+
+def plan(docs: DataFrame, seed: str = "mix", most: int = MOST) -> DataFrame:
+    """What `mix` does with each source and length class: source, class, source_size, target, whole, share, draws, last.
+    63 rows at most for each source."""
+    sizes = stored(_ranked(docs, seed).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("_size").alias("size"),
+        F.col("_class").alias("class"), F.col("_u").alias("u"),
+    ))
+    copies = stored(_copies(sizes, source_targets(sizes, most), most))
+    other = copies.withColumnsRenamed({"source": "_source", "class": "_class"})
+    rows = sizes.join(other, _same("source", "_source") & (F.col("class") == F.col("_class"))).select(
+        "doc_id", "source", "size", "target", "whole", _rank(F.col("u"), F.col("share"), F.col("size")).alias("rank")
+    )
+    empty = F.array().cast("array<struct<gap:double,bin:bigint,rank:double>>")
+    draws = stored(copies.select("source").distinct().withColumn("draws", empty))
+    for _ in range(PASSES):
+        draws = _draw(rows, draws)
 
-    judged = rows.join(cut, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source").withColumn("free", F.coalesce(free, F.lit(False)))
-    on_cut = F.col("free") & F.coalesce(F.col("bin") == F.col("cut.bin"), F.lit(False))
-    below = F.col("free") & (F.col("cut").isNull() | (F.col("bin") < F.col("cut.bin")))
-    ahead = Window.partitionBy("source").orderBy("rank", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    exact = judged.filter(on_cut).withColumn("sum", F.col("cut.ahead") + F.sum("size").over(ahead))
-    exact = exact.withColumn("one", (F.col("sum") <= F.col("_gap")).cast("long")).drop("sum")
-    rest = judged.filter(~on_cut).withColumn("one", F.when(below, F.lit(1)).otherwise(F.col("one")).cast("long"))
-    return stored(rest.unionByName(exact).drop("_gap", "cut", "free"))
+    # the words that the draws leave open go to one document more, the one whose size is nearest to them
+    joined = rows.join(draws.withColumnRenamed("source", "_source"), _same("source", "_source")).withColumn(
+        "taken", _drawn(F.col("draws"), F.col("size"), F.col("rank"))
+    )
+    used = F.sum((F.col("whole") + F.col("taken").cast("long")) * F.col("size"))
+    gaps = joined.groupBy("source").agg((F.max("target") - used).alias("gap")).withColumnRenamed("source", "_gap_of")
+    miss = F.abs(F.col("size") - F.col("gap"))
+    left = joined.filter("rank is not null and not taken").join(gaps, _same("source", "_gap_of")).filter(miss < F.col("gap"))
+    last = left.groupBy("source").agg(F.min(F.struct(miss.alias("miss"), "rank", "doc_id", "size")).alias("last"))
+    result = copies.join(draws.withColumnRenamed("source", "_source"), _same("source", "_source")).drop("_source")
+    return stored(result.join(last.withColumnRenamed("source", "_source"), _same("source", "_source"), "left").drop("_source"))
+
+
+def with_copies(docs: DataFrame, seed: str = "mix", most: int = MOST) -> DataFrame:
+    """The rows of docs with _size, _source_size, _target and _copies; no shuffle of the texts unless the plan is large."""
+    rules = plan(docs, seed, most)
+    rules = rules.select(*(F.col(c).alias(f"_{c}") for c in rules.columns)).withColumnRenamed("_class", "_rule_class")
+    rows = _ranked(docs, seed).join(rules, F.col("source").cast("string").eqNullSafe(F.col("_source")) & (F.col("_class") == F.col("_rule_class")))
+    size, rank = F.col("_size"), _rank(F.col("_u"), F.col("_share"), F.col("_size"))
+    closing = (rank == F.col("_last.rank")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_last.doc_id")) & (size == F.col("_last.size"))
+    one = _drawn(F.col("_draws"), size, rank) | F.coalesce(closing, F.lit(False))
+    return rows.withColumn("_copies", F.col("_whole") + one.cast("long")).select(*docs.columns, "_size", "_source_size", "_target", "_copies")
 
 
 def mix(docs: DataFrame, seed: str = "mix", most: int = MOST) -> DataFrame:
@@ -102,34 +163,19 @@ def mix(docs: DataFrame, seed: str = "mix", most: int = MOST) -> DataFrame:
     they fit, once more among those that fit into what is left, and one document closes the gap. The random number comes
     from the id (from the text where the id is null), so reruns agree.
 
-    Rows that repeat an id rank side by side; equal ones are one choice where one closes the gap. Null and empty texts have no words and
-    take none. A null source is a source. Further columns are ignored; an empty table gives no rows.
+    Rows that repeat an id rank side by side and are taken together or not at all where they have the same size. Null and
+    empty texts have no words and take none. A null source is a source. Further columns are ignored; an empty table
+    gives no rows.
     """
-    key = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")))
-    number = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), key).cast("binary")), 1, 13), 16, 10).cast("double")
-    sizes = stored(
-        docs.select(
-            F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-            word_count(F.col("text").cast("string")).alias("size"), ((number + 0.5) / float(1 << 52)).alias("u"),
-        ).withColumn("class", F.length(F.bin("size")))
+    named = docs.select("doc_id", "text", "source")
+    return with_copies(named, seed, most).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("_size").alias("size"),
+        F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.col("_copies").alias("copies"),
+        (F.col("_copies") * F.col("_size")).alias("taken"),
     )
-    copies = stored(_copies(sizes, source_targets(sizes, most), most)).withColumnsRenamed({"source": "_source", "class": "_class"})
-    u, share = F.col("u"), F.col("share")
-    odds = u * (1 - share) / (u * (1 - share) + (1 - u) * share)  # q / (1 + q) for odds ratio q, between 0 and 1
-    rows = sizes.join(copies, F.col("source").eqNullSafe(F.col("_source")) & (F.col("class") == F.col("_class"))).select(
-        "doc_id", "source", "size", "source_size", "target", "whole", F.when((share > 0) & (F.col("size") > 0), odds).alias("rank")
-    ).withColumn("bin", F.floor(F.col("rank") * (BINS * BINS)))
-    drawn = rows.withColumn("one", F.lit(0).cast("long"))
-    for _ in range(PASSES):
-        drawn = _draw(drawn)
-
-    # the words that the cut leaves open go to one document more, the one whose size is nearest to them
-    open_ = drawn.filter("one = 0 and rank is not null").join(_gaps(drawn), F.col("source").eqNullSafe(F.col("_source")))
-    miss = F.abs(F.col("size") - F.col("_gap"))
-    last = open_.filter(miss < F.col("_gap")).groupBy("source").agg(F.min(F.struct(miss.alias("miss"), "rank", "doc_id", "size")).alias("last"))
-    last = stored(last).withColumnRenamed("source", "_source")  # one row for each source
-    closing = (F.col("rank") == F.col("last.rank")) & F.col("doc_id").eqNullSafe(F.col("last.doc_id")) & (F.col("size") == F.col("last.size"))
-    taken = drawn.join(last, F.col("source").eqNullSafe(F.col("_source")), "left").withColumn(
-        "copies", F.col("whole") + F.col("one") + F.when(closing, 1).otherwise(0)
-    )
-    return taken.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def mixed(docs: DataFrame, seed: str = "mix", most: int = MOST) -> DataFrame:
+    """The rows of docs, each as often as the mix takes it. Columns of docs must not begin with an underscore."""
+    rows = with_copies(docs, seed, most).filter("_copies > 0")
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).select(*docs.columns)

@@ -125,45 +125,59 @@ def _repeated_words(words: w.Words, hashes: np.ndarray) -> np.ndarray:
     return w.per_text(covered[:-1], words.bounds)
 
 
+KINDS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, score double, kept boolean"
+
+
+def _judged(texts: pa.Array, weights: np.ndarray, least: int) -> Iterator[tuple[int, list[pa.Array]]]:
+    """Index of a piece's first text and the columns of KINDS for the piece."""
+    for first, data, offsets in w.pieces(texts):
+        words = w.split(data, offsets)
+        n_words = words.counts()
+        characters = w.per_text(np.where(w.SPACE[data], 0, _CHARACTER[data]), offsets)
+        symbols = w.per_text(_SYMBOL[data], offsets)
+        repeated = _repeated_words(words, words.hashes())
+        lines = [_repeated_lines(t) if t else 0 for t in texts.slice(first, len(n_words)).to_pylist()]
+        failed = (n_words < 50) | (100 * repeated > 50 * n_words)
+        hashed, bounds = buckets(data, offsets)
+        n = np.diff(bounds)
+        total = w.per_text(weights[hashed], bounds)
+        score = pa.array(total / np.maximum(n, 1) / SCALE, mask=n == 0)
+        kept = ~failed & (total >= least * n)
+        yield first, [*map(pa.array, (n_words, characters, symbols)), pa.array(lines, pa.int64()), *map(pa.array, (repeated, failed)), score, pa.array(kept)]
+
+
 def score_rules(docs: DataFrame, weights: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, counts, base_failed, score (mean log ratio, null without n-grams) and kept for every row.
 
-    Words are runs of bytes other than space and U+0009 to U+000D. A text fails the base rules with fewer than 50 words
-    or with more than half of its words in repeated 3-word windows. A null or empty text has no words, so it fails.
+    Words are runs of characters other than space and U+0009 to U+000D. A text fails the base rules with fewer than 50
+    words or with more than half of its words in repeated 3-word windows. A null or empty text has no words, so it fails.
     Repeated rows are judged alike; further columns are ignored; an empty table gives no rows.
     """
     model = docs.sparkSession.sparkContext.broadcast(weights)  # BUCKETS integers
     least = round(threshold * SCALE)
+    names = ["doc_id", *(k.split()[0] for k in KINDS.split(", "))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column("doc_id"), batch.column("text")
-            for first, data, offsets in w.pieces(texts):
-                words = w.split(data, offsets)
-                n_words = words.counts()
-                characters = w.per_text(np.where(w.SPACE[data], 0, _CHARACTER[data]), offsets)
-                symbols = w.per_text(_SYMBOL[data], offsets)
-                repeated = _repeated_words(words, words.hashes())
-                some = texts.slice(first, len(n_words))
-                lines = [_repeated_lines(t) if t else 0 for t in some.to_pylist()]
-                failed = (n_words < 50) | (100 * repeated > 50 * n_words)
-                hashed, bounds = buckets(data, offsets)
-                n = np.diff(bounds)
-                total = w.per_text(model.value[hashed], bounds)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        ids.slice(first, len(n_words)), pa.array(n_words), pa.array(characters), pa.array(symbols),
-                        pa.array(lines, pa.int64()), pa.array(repeated), pa.array(failed),
-                        pa.array(total / np.maximum(n, 1) / SCALE, mask=n == 0), pa.array(~failed & (total >= least * n)),
-                    ],
-                    names=["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"],
-                )
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run,
-        "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-        "base_failed boolean, score double, kept boolean",
-    )
+            for first, columns in _judged(batch.column("text"), model.value, least):
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, len(columns[0])), *columns], names=names)
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, f"doc_id long, {KINDS}")
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, rows: int = TRUSTED_ROWS) -> DataFrame:
+    """The rows of docs that `quality_rules` keeps, with all their columns."""
+    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, rows))
+    least, at = round(threshold * SCALE), docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [columns[-1] for _, columns in _judged(batch.column(at), model.value, least)]
+            if kept:
+                yield batch.filter(pa.concat_arrays(kept))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, rows: int = TRUSTED_ROWS) -> DataFrame:

@@ -54,15 +54,18 @@ _HAS_BIT = [np.flatnonzero(np.arange(256) >> b & 1) for b in range(8)]
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """doc_id and the 64 bits of each row's text as a signed long."""
+    """doc_id, copy (a hash of the text, tells rows apart that repeat an id) and the 64 bits of each text as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bits = np.fromiter((_fingerprint(t.as_py(), shingle, seed) for t in batch.column("text")), np.uint64, len(batch))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(bits.view(np.int64))], names=["doc_id", "bits"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("copy"), pa.array(bits.view(np.int64))], names=["doc_id", "copy", "bits"]
+            )
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(run, "doc_id long, bits long")
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("copy"), text.alias("text"))
+    return rows.mapInArrow(run, "doc_id long, copy long, bits long")
 
 
 def _variants(value: Column, width: int, kind: Column) -> Column:
@@ -172,6 +175,20 @@ def links(distinct: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET) -
     return first.filter("b is not null").select("a", "b").unionByName(second.select("a", "b"))
 
 
+def _classes(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, seed: int = SEED, bucket: int = BUCKET) -> DataFrame:
+    """doc_id, copy, bits, root (one value for each component) and component_id for every row of docs."""
+    rows = stored(fingerprints(docs, shingle, seed))
+    distinct = stored(rows.groupBy("bits").agg(F.min("doc_id").alias("least")))
+    found = components(links(distinct, distance, bucket))
+    linked = distinct.join(found, distinct["bits"] == found["node"]).select("bits", "root", "least")
+    least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
+    classes = linked.join(least, "root").select("bits", "root", "component_id")
+    single = distinct.join(classes, "bits", "left").select(
+        "bits", F.coalesce("root", "bits").alias("root"), F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id")
+    )
+    return rows.join(single, "bits").select("doc_id", "copy", "bits", "root", "component_id")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, seed: int = SEED, bucket: int = BUCKET) -> DataFrame:
     """doc_id, bits and component_id (least doc_id reachable over links) for every row of docs (doc_id, text).
 
@@ -180,14 +197,17 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     a component; a null id is never a component's least id unless the component has no other. Further columns are
     ignored; an empty table gives no rows.
     """
-    rows = stored(fingerprints(docs, shingle, seed))
-    distinct = stored(rows.groupBy("bits").agg(F.min("doc_id").alias("least")))
-    found = components(links(distinct, distance, bucket))
-    linked = distinct.join(found, distinct["bits"] == found["node"]).select("bits", "root", "least")
-    least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = linked.join(least, "root").select("bits", "component_id")
-    single = distinct.join(classes, "bits", "left").select("bits", F.coalesce("component_id", "least").alias("component_id"))
-    return rows.join(single, "bits").select("doc_id", "bits", "component_id")
+    return _classes(docs, shingle, distance, seed, bucket).select("doc_id", "bits", "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, seed: int = SEED, bucket: int = BUCKET) -> DataFrame:
+    """The rows of docs, with all their columns, of which one of each component is left: the one with the least id (a
+    null id is greater than any). Rows equal in id and text leave one. Columns of docs must not begin with an underscore."""
+    least = _classes(docs, shingle, distance, seed, bucket).groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "copy")).alias("k"))
+    kept = least.select(F.coalesce("k.doc_id", F.lit(0)).alias("_id"), F.col("k.none").alias("_none"), F.col("k.copy").alias("_copy"))
+    identity = F.col("doc_id").cast("long")
+    rows = docs.withColumns({"_id": F.coalesce(identity, F.lit(0)), "_none": identity.isNull(), "_copy": F.xxhash64(F.col("text").cast("string"))})
+    return rows.join(kept, ["_id", "_none", "_copy"]).dropDuplicates(["_id", "_none", "_copy"]).select(*docs.columns)
 
 
 def hexadecimal(bits: Column) -> Column:
