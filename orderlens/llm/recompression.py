@@ -95,27 +95,27 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, copy, cover: the starts of windows that also start in a document with a smaller id, as (low, count)."""
     texts = _texts(docs)
     spans = stored(anchored_spans(texts, window))
-    shared = spans.groupBy("name").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("name")
+    # what is joined is a written table on either side, so that AQE may split a hot name
+    shared = stored(spans.groupBy("name").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("name"))
     spans = stored(spans.join(shared, "name", "left_semi"))
 
     contents = stored(
         spans.groupBy("name", "span").agg(F.min(F.struct("doc_id", "copy", "low", "count")).alias("r"))
         .select("name", "span", "r.*")
     )
-    several = contents.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name")
+    several = stored(contents.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name"))
     wanted = (
         contents.join(several, "name", "left_semi").groupBy("doc_id", "copy")
         .agg(F.collect_list(F.struct("name", "span", "low", "count")).alias("wanted"))  # at most the text's own spans
     )
     windows = stored(_window_hashes(texts.join(wanted, ["doc_id", "copy"], "left"), window))
-    earliest = windows.groupBy("name", "content").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b")
+    earliest = stored(windows.groupBy("name", "content").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b"))
     steps = (
         windows.join(earliest, ["name", "content"]).filter("doc_id > a")
         .groupBy("name", "span").agg(F.collect_set("step").alias("steps"))  # at most the windows of one span
     )
-    judged = spans.join(
-        contents.select("name", "span", F.col("doc_id").alias("first_doc")).join(steps, ["name", "span"], "left"), ["name", "span"]
-    )
+    verdicts = stored(contents.select("name", "span", F.col("doc_id").alias("first_doc")).join(steps, ["name", "span"], "left"))
+    judged = spans.join(verdicts, ["name", "span"])
     whole = F.array(F.struct("low", "count"))
     single = F.transform("steps", lambda k: F.struct((F.col("low") + k).alias("low"), F.lit(1).alias("count")))
     cover = F.when(F.col("doc_id") > F.col("first_doc"), whole).otherwise(single)
