@@ -183,10 +183,10 @@ def _classes(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
     linked = distinct.join(found, distinct["bits"] == found["node"]).select("bits", "root", "least")
     least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = linked.join(least, "root").select("bits", "root", "component_id")
-    single = distinct.join(classes, "bits", "left").select(
+    single = distinct.join(stored(classes), "bits", "left").select(
         "bits", F.coalesce("root", "bits").alias("root"), F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id")
     )
-    return rows.join(single, "bits").select("doc_id", "copy", "bits", "root", "component_id")
+    return rows.join(stored(single), "bits").select("doc_id", "copy", "bits", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, seed: int = SEED, bucket: int = BUCKET) -> DataFrame:
