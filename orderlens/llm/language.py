@@ -58,14 +58,15 @@ class Model:
     languages: list[str]
     words: np.ndarray
     word_logs: np.ndarray  # one row for each word
-    grams: dict[str, np.ndarray]
+    grams: dict[str, int]  # row of each n-gram
+    gram_logs: np.ndarray
 
     def unseen(self, word: str) -> np.ndarray:
         """Mean log frequency of the word's known n-grams of the longest order that has any."""
         for n in ORDERS:
             found = [x for x in (self.grams.get(g) for g in _grams(word, n)) if x is not None]
             if found:
-                return np.mean(found, axis=0, dtype=np.float64)
+                return np.add.reduce(self.gram_logs[found], axis=0, dtype=np.float64) / len(found)
         return np.zeros(len(self.languages))
 
 
@@ -100,7 +101,7 @@ def fit(docs: DataFrame, rows: int = FIT_ROWS) -> Model:
     table = known.filter(F.col("all") >= LEAST_COUNT).select("kind", "unit", F.explode("by").alias("b")).select("kind", "unit", "b.*").toArrow()
     languages = sorted(set(table["lang"].to_pylist()))
     if not languages:
-        return Model([], np.zeros(0, np.uint64), np.zeros((0, 0), np.float32), {})
+        return Model([], np.zeros(0, np.uint64), np.zeros((0, 0), np.float32), {}, np.zeros((0, 0), np.float32))
     column = pc.index_in(table["lang"], pa.array(languages)).to_numpy()
     kind, counts = table["kind"].to_numpy(), table["n"].to_numpy()
     units = table["unit"].combine_chunks()
@@ -115,11 +116,9 @@ def fit(docs: DataFrame, rows: int = FIT_ROWS) -> Model:
     hashes = np.concatenate([w.split(d, o, SEPARATOR).hashes() for _, d, o in w.pieces(names)])
     order = np.argsort(hashes)
     logs = _logs(total)[order]
-    grams = {}
-    for n in ORDERS:
-        found, total = matrix(kind == n)
-        grams |= dict(zip(found.to_pylist(), _logs(total), strict=True))
-    return Model(languages, hashes[order], logs, grams)
+    by_order = [matrix(kind == n) for n in ORDERS]
+    grams = {g: i for i, g in enumerate(g for found, _ in by_order for g in found.to_pylist())}
+    return Model(languages, hashes[order], logs, grams, np.concatenate([_logs(total) for _, total in by_order]))
 
 
 def identify(docs: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
