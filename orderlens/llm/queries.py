@@ -78,7 +78,7 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
-    placed = sharding.shard(_table(spark, folder, "documents").select("doc_id", "text"))
+    placed = sharding.shard(_table(spark, folder, "documents"), carry=False)
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )

@@ -60,8 +60,8 @@ def prefix_sums(rows: DataFrame, order: list[str], size: str = "size") -> DataFr
     )
 
 
-def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """row (the whole input row as a struct), doc_id, size, text_crc32, shard and slot for every row of docs.
+def shard(docs: DataFrame, shards: int = SHARDS, carry: bool = True) -> DataFrame:
+    """row (the whole input row as a struct; null if `carry` is off, which keeps texts out of the shuffle), doc_id, size, text_crc32, shard and slot for every row of docs.
 
     Documents stand in the order of doc_id (nulls first, then checksum and size); a document goes to the shard in which
     the middle of its bytes falls when all bytes are cut into `shards` equal stretches. Shards are contiguous, and their
@@ -70,7 +70,7 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     names stay apart inside `row`. An empty table gives no rows.
     """
     rows = docs.select(
-        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text_size(F.col("text").cast("string")).alias("size"),
+        (F.struct("*") if carry else F.lit(None).cast("boolean")).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text_size(F.col("text").cast("string")).alias("size"),
         text_crc32().alias("text_crc32"),
     )
     placed = prefix_sums(rows, ["doc_id", "text_crc32", "size"])
