@@ -19,25 +19,26 @@ _PAIR, _RUN, _RANK, _SPAN = (np.uint64(x) for x in (0xC2B2AE3D27D4EB4F, 0x165667
 
 @dataclass
 class Symbols:
-    """Symbols in text order; `last_of` marks the last symbol of each text."""
+    """Symbols in text order."""
 
     name: np.ndarray
     first: np.ndarray  # first word
     left: np.ndarray  # depends on words left .. right - 1; outside the text at its ends
     right: np.ndarray
     text: np.ndarray
+    bounds: np.ndarray  # text t has words bounds[t] to bounds[t + 1]
 
 
 def _merged(s: Symbols, head: np.ndarray, name: np.ndarray) -> Symbols:
     """Symbols that start at the old ones in `head`; each now depends on its old neighbours as well."""
     tail = np.append(head[1:], len(s.name)) - 1
-    left, right = s.left[head].copy(), s.right[tail].copy()
+    left, right = s.bounds[s.text[head]] - 1, s.bounds[s.text[tail] + 1] + 1  # without a neighbour: on the text's end
     inner = np.flatnonzero((head > 0) & (s.text[head] == s.text[head - 1]))
     left[inner] = s.left[head[inner] - 1]
     inner = np.flatnonzero(tail + 1 < len(s.name))
     inner = inner[s.text[tail[inner]] == s.text[tail[inner] + 1]]
     right[inner] = s.right[tail[inner] + 1]
-    return Symbols(name, s.first[head], left, right, s.text[head])
+    return Symbols(name, s.first[head], left, right, s.text[head], s.bounds)
 
 
 def _name_runs(s: Symbols) -> Symbols:
@@ -66,12 +67,7 @@ def _name_pairs(s: Symbols, round_: int) -> Symbols:
 
 def symbols(words: Words, hashes: np.ndarray, rounds: int = ROUNDS) -> Symbols:
     at = np.arange(len(hashes), dtype=np.int64)
-    text = words.text
-    left, right = at.copy(), at + 1
-    filled = words.counts() > 0
-    left[words.bounds[:-1][filled]] -= 1  # what lies beyond a text's end is never seen
-    right[words.bounds[1:][filled] - 1] += 1
-    s = Symbols(hashes, at, left, right, text)
+    s = Symbols(hashes, at, at, at + 1, words.text, words.bounds)
     for r in range(rounds):
         s = _name_pairs(_name_runs(s), r)
     return s

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE_BYTES = 1 << 20  # texts are taken in pieces of about this size; a longer text is a piece of its own
+PIECE_BYTES = 1 << 19  # texts are taken in pieces of about this size; a longer text is a piece of its own
 
 SPACE = np.zeros(256, bool)
 SPACE[[32, *range(9, 14)]] = True
