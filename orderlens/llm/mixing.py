@@ -22,7 +22,7 @@ def _level(need: Column, group: list[str], order: list[Column], capacity: Column
     unit, the fill level is the largest of these at which the row itself doesn't overflow."""
     rows = Window.partitionBy(*group).orderBy(*order)
     full = F.coalesce(F.sum(capacity).over(rows.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return (need - full) / F.sum(demand).over(rows.rowsBetween(0, Window.unboundedFollowing))
+    return F.try_divide(need - full, F.sum(demand).over(rows.rowsBetween(0, Window.unboundedFollowing)))
 
 
 def source_targets(sizes: DataFrame, most: int = MOST) -> DataFrame:

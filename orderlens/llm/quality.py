@@ -21,6 +21,7 @@ GRAM = 3
 TRUSTED_ROWS = 20_000  # bound of the labelled sample that stands for the target
 THRESHOLD = -0.25  # mean nats per n-gram
 SCALE = 1 << 20
+PRIOR = 1_000  # n-grams of the corpus that the trusted counts start from
 
 _SYMBOL = np.zeros(256, np.int64)
 _SYMBOL[list(b"#*$%&|<>")] = 1
@@ -92,7 +93,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRUSTED_ROWS) -> np.ndar
     # a bucket's corpus share is the prior of its trusted share: what the target has never seen counts against a text
     # only as far as the corpus has it often
     share = (corpus + 0.5) / (corpus.sum() + 0.5 * BUCKETS)
-    ratio = np.log((good + share * BUCKETS) / (good.sum() + BUCKETS) / share)
+    ratio = np.log((good + share * PRIOR) / (good.sum() + PRIOR) / share)
     return np.rint(ratio * SCALE).astype(np.int64)
 
 
