@@ -192,7 +192,7 @@ def test_licenses(spark, docs, empty):
     assert base(1) == (1, 7, 7, "gpl") and got[1]["labels"] == "gpl,gpl-notice"
     assert base(2) == (2, 3, 5, "mit") and base(3) == (0, None, None, "") and base(4) == (3, 2, 9, "cc-by")
     assert got[4]["labels"] == "cc-by,cc-by-nc" and got[5]["labels"] == "mit-grant" and got[5]["score"] == 1.0
-    assert got[6]["labels"] == "bsd" and 0.7 < got[6]["score"] < 1 and got[6]["spans"][0]["last_word"] == 18
+    assert got[6]["labels"] == "bsd" and 0.7 < got[6]["score"] < 1 and got[6]["spans"][0]["last_word"] == 20
     assert base(7) == (1, 1, 1, "apache") and got[8]["n_words"] == 0 and got[8]["labels"] == ""
     assert licenses.scan_licenses(docs).count() == docs.count() and licenses.scan_licenses(empty).count() == 0
 
