@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from orderlens.fixed_values import PRICE_EDGES, REQUIRED_COLUMNS
 from orderlens.functions import numbers
 from orderlens.operators.shape import column_values
-from orderlens.session import checked_broadcast
 
 LINE_KEY = ("order_id", "line_number", "product_id")
 
@@ -39,7 +38,7 @@ def flag_repeated(df: DataFrame, key: Sequence[str], into: str) -> DataFrame:
     in a checked broadcast, so the table itself is not moved and no hot key lands in one task.
     """
     repeats = repeated_keys(df, key).select(*[F.col(k).alias(f"_k_{k}") for k in key], F.lit(True).alias("_hit"))
-    small = checked_broadcast(repeats)
+    small = repeats
     return (
         df.join(small, same_key(df, small, key), "left")
         .withColumn(into, F.coalesce("_hit", F.lit(False)))

@@ -11,7 +11,6 @@ from orderlens.functions.numbers import percent, share
 from orderlens.operators.kpis import shown
 from orderlens.operators.ordered import running_totals
 from orderlens.operators.shape import long_form
-from orderlens.session import checked_broadcast
 
 CUSTOMER = ("user_id", "customer_name", "country")
 PRODUCT = ("product_id", "product_name", "category", "brand")
@@ -97,7 +96,7 @@ def top_products(active: DataFrame, n: int = 10) -> DataFrame:
 
 def top_commonality(active: DataFrame, n: int = 10, channels: int = 3) -> DataFrame:
     """What the best sellers have in common against all other lines, from one scan with a marked join."""
-    best = checked_broadcast(top_products(active, n))
+    best = top_products(active, n)
     ids = best.select("product_id").distinct().withColumn("_top", F.lit(True))
     marked = active.join(F.broadcast(ids), "product_id", "left").withColumn("_top", F.coalesce("_top", F.lit(False)))
     top, other = F.col("_top"), ~F.col("_top")

@@ -15,7 +15,7 @@ from orderlens.operators.scenarios import (
     scenario_monthly,
     scenario_totals,
 )
-from orderlens.session import materialize
+from orderlens.session import stored
 
 
 def scenario_lines(orders: DataFrame, predictions: DataFrame | None = None) -> DataFrame:
@@ -26,7 +26,7 @@ def scenario_lines(orders: DataFrame, predictions: DataFrame | None = None) -> D
 
 def datasets(orders: DataFrame, predictions: DataFrame | None = None, scenario: str = "Original", **dimensions) -> dict[str, DataFrame]:
     """Every view for one scenario and one selection of dimensions; the lines are computed once."""
-    lines = materialize(scenario_lines(orders, predictions))
+    lines = stored(scenario_lines(orders, predictions))
     rows = selected(lines, **dimensions)
     return {
         "kpis": calculate_kpis(orders),

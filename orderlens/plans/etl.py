@@ -9,13 +9,17 @@ from pyspark.sql import functions as F
 
 from orderlens.operators.enrich import ENRICHED_COLUMNS, build_orders_enriched, join_invariant, normalize_carts
 from orderlens.operators.quality import evaluate_quality, iqr_fences, quality_report
-from orderlens.session import materialize
+from orderlens.session import stored
 from orderlens.sources import files, pages
 
 
-def extract_all(spark: SparkSession, landing: str, raw: str | None = None) -> dict[str, DataFrame]:
-    """The three checked collections; detail views of the orders must agree with the listings."""
+def extract_all(spark: SparkSession, landing: str, raw: str | None = None, details: str | None = None) -> dict[str, DataFrame]:
+    """The three checked collections; where a folder of detail views is given, it must hold the orders of the listing."""
     found = {key: pages.read_collection(spark, f"{landing}/{key}", key) for key in ("products", "users", "carts")}
+    if details is not None:  # the orders one by one: the same ids as the listing, or the extract is not complete
+        single = pages.read_pages(spark, f"{details}/carts", "carts").select(F.explode("carts").alias("r")).select("r.id")
+        if not pages.detail_mismatches(found["carts"], single, "id").isEmpty():
+            raise pages.ContractError("carts: listing and detail view hold different ids")
     if raw is not None:
         for key, records in found.items():
             pages.write_snapshot(records, f"{raw}/{key}", "landed pages")
@@ -24,7 +28,7 @@ def extract_all(spark: SparkSession, landing: str, raw: str | None = None) -> di
 
 def transform(collections: Mapping[str, DataFrame], **options) -> tuple[DataFrame, DataFrame]:
     """Enriched lines with quality columns, and the quality report. The joined frame is computed once."""
-    enriched = materialize(build_orders_enriched(**collections, position=pages.POSITION, **options))
+    enriched = stored(build_orders_enriched(**collections, position=pages.POSITION, **options))
     kept = join_invariant(normalize_carts(collections["carts"]), enriched).first()
     if not kept["kept"]:
         raise ValueError(f"the joins changed the number of lines: {kept.asDict()}")

@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Runtime settings the operators count on. Joins on hot keys rely on AQE's skew handling.
 RUNTIME_SETTINGS = {
@@ -17,8 +16,6 @@ RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
-BROADCAST_ROWS = 1_000_000
-
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session that somebody else has built."""
@@ -37,43 +34,34 @@ def build_session(app: str = "orderlens", master: str | None = None, **settings:
     return builder.getOrCreate()
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """Folder for checkpoints: the cluster's own setting, or a scratch folder in local mode only."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as the session names it in spark.checkpoint.dir."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder is None and context.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="orderlens-")
-    if folder is not None and context.getCheckpointDir() is None:
+    if folder is None:
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
 
 
+def use_local_folder(spark: SparkSession) -> SparkSession:
+    """For tests and trials in local mode: a scratch folder of this machine where the session names none."""
+    context = spark.sparkContext
+    if context.master.startswith("local") and not context.master.startswith("local-cluster"):
+        if spark.conf.get("spark.checkpoint.dir", None) is None and context.getCheckpointDir() is None:
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="orderlens-"))
+    return spark
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute once and reuse: a reliable checkpoint, or the plan itself where no folder is set."""
-    return df.checkpoint(eager=True) if shared_folder(df.sparkSession) else df
+    """Compute once and reuse: a reliable checkpoint, which keeps the placement of the rows."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """The rows as a written table in the shared folder, for wide frames that several scans read in part."""
-    folder = shared_folder(df.sparkSession)
-    if folder is None:
-        return df
-    path = f"{folder}/table-{uuid.uuid4().hex}"
+    """The rows as a written table in the shared folder, for frames that several scans read in part."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting the rows; a larger side is left to a shuffle join."""
-    once = materialize(df)
-    return F.broadcast(once) if once.limit(max_rows + 1).count() <= max_rows else once
-
-
-def spread(df: DataFrame, splits: int, *keys: str) -> DataFrame:
-    """Give a scan with fewer splits than cores (one big row group, say) to all cores.
-
-    A scan that already has enough splits stays as it is, so large tables are not shuffled. `keys` should
-    be close to unique per row: hashing them is cheaper than dealing rows out in turn.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if splits < cores else df

@@ -16,10 +16,10 @@ class ContractError(ValueError):
     """The landed pages do not form one complete collection."""
 
 
-def read_pages(spark: SparkSession, path: str, key: str, item: T.StructType | None = None) -> DataFrame:
-    """Page envelopes (total, skip, limit, key) from JSON files, one page per file or per line."""
+def read_pages(spark: SparkSession, path: str, key: str, item: T.StructType | None = None, multi_line: bool = False) -> DataFrame:
+    """Page envelopes (total, skip, limit, key) from JSON files: a page on every line, or with `multi_line` one page a file."""
     schema = schemas.page(key, item or schemas.COLLECTIONS[key])
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
 
 
 def page_contract(pages: DataFrame, key: str) -> DataFrame:
@@ -60,9 +60,9 @@ def page_records(pages: DataFrame, key: str) -> DataFrame:
     return pages.select(F.col("skip").alias(PAGE), F.posexplode(key).alias(ITEM, "_record")).select("_record.*", PAGE, ITEM)
 
 
-def read_collection(spark: SparkSession, path: str, key: str, item: T.StructType | None = None) -> DataFrame:
+def read_collection(spark: SparkSession, path: str, key: str, item: T.StructType | None = None, multi_line: bool = False) -> DataFrame:
     """Checked records of a collection; an incomplete or empty one is an error."""
-    pages = read_pages(spark, path, key, item)
+    pages = read_pages(spark, path, key, item, multi_line)
     facts = page_contract(pages, key).first()
     if facts["violations"]:
         raise ContractError(f"{key}: {({k: v for k, v in facts.asDict().items() if v})}")

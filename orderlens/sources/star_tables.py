@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from orderlens.operators import enrich
 from orderlens.operators.quality import evaluate_quality, iqr_fences, valid_sale
-from orderlens.session import spread, stored
+from orderlens.session import stored
 
 PRICE_EDGES = (1000, 4000)
 MONEY = "decimal(18,2)"
@@ -40,7 +40,6 @@ SCHEMAS = {
     "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
     "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
 }
-_split_counts: dict[str, int] = {}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -96,16 +95,9 @@ def _raw_status() -> Column:
     )
 
 
-def _items(spark: SparkSession, folder: str) -> DataFrame:
-    items = table(spark, folder, "lineitem")
-    if folder not in _split_counts:
-        _split_counts[folder] = items.rdd.getNumPartitions()
-    return spread(items, _split_counts[folder], "l_orderkey", "l_linenumber", "l_partkey")
-
-
 def lines(spark: SparkSession, folder: str, declared: bool = True) -> DataFrame:
     """Order lines as they come out of the unnesting; `declared` adds the line count of each order."""
-    items, orders = _items(spark, folder), table(spark, folder, "orders")
+    items, orders = table(spark, folder, "lineitem"), table(spark, folder, "orders")
     if declared:
         counts = items.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_lines"))
         orders = orders.join(counts, F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("l_orderkey")
@@ -136,7 +128,7 @@ def carts(spark: SparkSession, folder: str) -> DataFrame:
 
     One document per line, so that no order has to be collected into one array.
     """
-    items, orders = _items(spark, folder), table(spark, folder, "orders")
+    items, orders = table(spark, folder, "lineitem"), table(spark, folder, "orders")
     product = F.struct(
         F.col("l_partkey").alias("id"),
         F.lit(None).cast("string").alias("title"),
@@ -166,7 +158,8 @@ def enriched(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
         flag_sku = flags or "catalog_duplicate_flag" in needs
         catalog = enrich.prepare_products(products(spark, folder), unique=True, flag_sku=flag_sku)
     if flags or needs & _USER_NEEDS:
-        buyers = enrich.prepare_users(users(spark, folder), unique=True)
+        # written once: the planner then knows the size of the joined dimension, and repeated ids are reduced to one row
+        buyers = stored(enrich.prepare_users(users(spark, folder)))
     fact = lines(spark, folder, declared="reported_total_products" in needs)
     joined = enrich.join_dimensions(fact, catalog, buyers)
     if needs & {"valid_sales_flag", "data_quality_flag"}:

@@ -188,12 +188,12 @@ def flag_repeated_lines(spark, sf):
 @register(
     "exact_duplicates",
     lines_with(
-        "d AS (SELECT count(*) AS n FROM e GROUP BY order_id, line_number, product_id, unit_price, quantity HAVING count(*) > 1)",
+        "d AS (SELECT *, count(*) AS n FROM e GROUP BY ALL HAVING count(*) > 1)",
         "SELECT count(*) AS registros_repetidos, CAST(coalesce(sum(n), 0) AS BIGINT) AS filas_duplicadas FROM d",
     ),
 )
 def exact_duplicates(spark, sf):
-    return integrity.exact_duplicates(star.enriched(spark, sf, *integrity.LINE_KEY, "unit_price", "quantity"))
+    return integrity.exact_duplicates(star.enriched(spark, sf, *UNFLAGGED))
 
 
 @register(
@@ -211,8 +211,7 @@ def order_line_check(spark, sf):
     "integrity_summary",
     lines_with(
         """k AS (SELECT count(*) AS n FROM e GROUP BY order_id, line_number, product_id HAVING count(*) > 1),
-        x AS (SELECT count(*) AS n FROM e GROUP BY order_id, line_number, product_id, reported_total_products, unit_price, quantity
-              HAVING count(*) > 1),
+        x AS (SELECT *, count(*) AS n FROM e GROUP BY ALL HAVING count(*) > 1),
         o AS (SELECT order_id FROM e GROUP BY order_id HAVING count(line_number) <> min(reported_total_products))""",
         "SELECT CAST(coalesce((SELECT sum(n) FROM x), 0) AS BIGINT) AS filas_duplicadas_exactas, "
         "CAST(coalesce((SELECT sum(n) FROM k), 0) AS BIGINT) AS filas_con_clave_duplicada, "
@@ -221,7 +220,7 @@ def order_line_check(spark, sf):
 )
 def integrity_summary(spark, sf):
     return integrity.integrity_summary(
-        star.master(spark, sf, *integrity.LINE_KEY, "reported_total_products", "unit_price", "quantity")
+        star.enriched(spark, sf, *UNFLAGGED)
     )
 
 

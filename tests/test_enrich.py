@@ -16,19 +16,19 @@ def test_one_row_per_order_line(frames):
 
 def test_enrichment_keeps_grain_and_calculates_revenue(enriched):
     rows = enriched.orderBy("line_number").collect()
-    assert [float(r["revenue"]) for r in rows] == [99.98, 600.0, 201.0]
+    assert [float(r["revenue"]) for r in rows] == [124.0, 200.0, 2103.0]
     assert [r["price_segment"] for r in rows] == ["Económico", "Medio", "Premium"]
     assert all(r["product_match_flag"] and r["user_match_flag"] for r in rows)
-    assert rows[0]["country"] == "Colombia" and rows[0]["customer_name"] == "Ana López"
-    assert rows[0]["year_month"] == "2024-01" and rows[0]["month_name"] == "Enero"
-    assert rows[0]["order_date"] == datetime.date(2024, 1, 15)
+    assert rows[0]["country"] == "Chile" and rows[0]["customer_name"] == "Irma Solís"
+    assert rows[0]["year_month"] == "2023-11" and rows[0]["month_name"] == "Noviembre"
+    assert rows[0]["order_date"] == datetime.date(2023, 11, 30)
     assert len(enriched.columns) == 46 and not set(enrich.PERSONAL_COLUMNS) & set(enriched.columns)
 
 
 def test_cleaning_and_fallbacks(frames):
     products, users, carts = copy.deepcopy(PRODUCTS), copy.deepcopy(USERS), copy.deepcopy(CARTS)
     products[2]["price"] = 0
-    products.append({**products[0], "id": 4, "sku": "S-1", "price": 10})
+    products.append({**products[0], "id": 24, "sku": "LN-21", "price": 10})
     products.append({**products[0], "title": "segunda aparición"})
     users.append({**users[0], "id": 8, "country": "PERÚ", "firstName": None, "lastName": " Ruiz "})
     users.append({**users[0], "id": 9, "country": "Atlantis", "firstName": " ", "lastName": None})
@@ -42,10 +42,10 @@ def test_cleaning_and_fallbacks(frames):
     frame = enrich.build_orders_enriched(**frames(products, users, carts), position=())
     rows = {(r["order_id"], r["line_number"]): r for r in frame.collect()}
     assert len(rows) == 6 and not any(k[0] == 14 for k in rows)
-    first = rows[10, 1]
-    assert (first["product_name"], first["category"], first["discount_percentage"]) == ("Zapato A", "Footwear", 5.0)
-    assert first["catalog_duplicate_flag"] and not rows[10, 2]["catalog_duplicate_flag"]
-    assert rows[10, 3]["price_difference_pct"] is None and float(rows[10, 3]["price_difference"]) == 201
+    first = rows[40, 1]
+    assert (first["product_name"], first["category"], first["discount_percentage"]) == ("Lámpara norte", "Equipment", 7.5)
+    assert first["catalog_duplicate_flag"] and not rows[40, 2]["catalog_duplicate_flag"]
+    assert rows[40, 3]["price_difference_pct"] is None and float(rows[40, 3]["price_difference"]) == 350.5
     peru = rows[11, 1]
     assert (peru["country"], peru["country_original"], peru["customer_name"]) == ("Perú", "PERÚ", "Ruiz")
     assert (peru["order_status"], peru["status_original"], peru["canceled_flag"]) == ("cancelled", "CANCELED", 1)
@@ -86,7 +86,7 @@ def test_null_quantity_is_flagged_not_dropped(frames):
 
 
 def test_report_agrees_with_flags(frames, repeated_orders):
-    doubled = repeated_orders.unionByName(repeated_orders.filter("order_id = 105")).drop("data_quality_flag", "valid_sales_flag")
+    doubled = repeated_orders.unionByName(repeated_orders.filter("order_id = 535")).drop("data_quality_flag", "valid_sales_flag")
     flagged = quality.evaluate_quality(doubled)
     for row in quality.quality_report(doubled).collect():
         holds = F.array_contains(F.split("data_quality_flag", r" \| "), row["regla_evaluada"])
@@ -110,12 +110,12 @@ def test_integrity_checks(spark, repeated_orders):
         "filas_duplicadas_exactas": 0, "filas_con_clave_duplicada": 0, "pedidos_con_diferencia_en_lineas": 0,
     }
     assert integrity.check_master(repeated_orders)["rows"] == 60
-    wrong = repeated_orders.withColumn("revenue", F.col("revenue") + F.when(F.col("order_id") == 103, 1).otherwise(0).cast("decimal(18,4)"))
+    wrong = repeated_orders.withColumn("revenue", F.col("revenue") + F.when(F.col("order_id") == 521, 1).otherwise(0).cast("decimal(18,4)"))
     with pytest.raises(ValueError):
         integrity.check_master(wrong)
     with pytest.raises(ValueError):
         integrity.check_master(repeated_orders.drop("country"))
-    outside = integrity.vocabulary_check(repeated_orders, {"country": ["Chile"], "channel": ["Direct Sales"]}).collect()
-    assert [(r["variable"], r["value"], r["rows"]) for r in outside] == [("country", "Colombia", 60)]
+    outside = integrity.vocabulary_check(repeated_orders, {"country": ["Bolivia"], "channel": ["Distributor"]}).collect()
+    assert [(r["variable"], r["value"], r["rows"]) for r in outside] == [("country", "Chile", 60)]
     check = integrity.derived_check(wrong).first()
     assert check["revenue_incorrecto"] == 3 and check["segmento_precio_incorrecto"] == 0

@@ -81,9 +81,9 @@ def test_source_is_untouched_and_checks_hold(repeated_orders):
     assert check.pop("lineas_sin_cantidad") == 1 and set(check.values()) == {0}
     rows = {r["scenario"]: r for r in scenarios.scenario_comparison(out).collect()}
     assert rows["Original conocido"]["difference_vs_original"] == 0
-    assert rows["Mínimo mayorista"]["revenue_total"] == pytest.approx(rows["Original conocido"]["revenue_total"] + 5 * 49.99)
+    assert rows["Mínimo mayorista"]["revenue_total"] == pytest.approx(rows["Original conocido"]["revenue_total"] + 5 * 50)
     affected = scenarios.affected_orders(out).collect()
-    assert [(r["order_id"], r["product_lines"], r["missing_quantity_lines"]) for r in affected] == [(100, 3, 1)]
+    assert [(r["order_id"], r["product_lines"], r["missing_quantity_lines"]) for r in affected] == [(626, 3, 1)]
     totals = {r["scenario"]: r["revenue"] for r in scenarios.scenario_totals(out).collect()}
     assert totals["Random Forest"] == totals["Original"] < totals["Mínimo mayorista"] <= totals["Máximo jerárquico"]
     assert scenarios.missing_listing(out).count() == 1

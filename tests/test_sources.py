@@ -32,6 +32,26 @@ def test_broken_contract_is_rejected(spark, tmp_path, changes):
         pages.read_collection(spark, str(path), "items", ITEM)
 
 
+def test_several_pages_in_one_file(spark, tmp_path):
+    path = write_pages(tmp_path / "items", "items", RECORDS, 4)
+    lines = "\n".join(p.read_text(encoding="utf-8") for p in sorted(path.iterdir()))
+    (tmp_path / "one.json").write_text(lines, encoding="utf-8")
+    assert pages.read_collection(spark, str(tmp_path / "one.json"), "items", ITEM).count() == 11
+    (tmp_path / "wide.json").write_text('{"total": 1, "skip": 0,\n "limit": 4,\n "items": [{"id": 5}]}', encoding="utf-8")
+    assert pages.read_collection(spark, str(tmp_path / "wide.json"), "items", ITEM, multi_line=True).first()["id"] == 5
+
+
+def test_detail_views_must_agree(spark, tmp_path):
+    for key, records in (("products", PRODUCTS), ("users", USERS), ("carts", CARTS)):
+        write_pages(tmp_path / "landing" / key, key, records)
+        write_pages(tmp_path / "same" / key, key, records)
+        write_pages(tmp_path / "other" / key, key, [{**r, "id": r["id"] + 1} for r in records])
+    found = etl.extract_all(spark, str(tmp_path / "landing"), details=str(tmp_path / "same"))
+    assert found["carts"].count() == 1
+    with pytest.raises(pages.ContractError):
+        etl.extract_all(spark, str(tmp_path / "landing"), details=str(tmp_path / "other"))
+
+
 def test_empty_collection_is_rejected(spark, tmp_path):
     with pytest.raises(pages.ContractError):
         pages.read_collection(spark, str(write_pages(tmp_path / "items", "items", [], 4)), "items", ITEM)
@@ -56,7 +76,7 @@ def test_whole_job_from_pages_to_tables(spark, tmp_path):
         write_pages(landing / key, key, records)
     result = etl.run(spark, str(landing), str(tmp_path / "out"))
     assert (result["rows"], result["columns"]) == (3, 48)
-    assert result["quantity_sum"] == 6 and result["revenue_sum"] == pytest.approx(900.98)
+    assert result["quantity_sum"] == 20 and result["revenue_sum"] == pytest.approx(2427)
     assert result["source_counts"] == {"products": 3, "users": 1, "carts": 1}
     report = spark.read.option("header", True).csv(str(tmp_path / "out/quality/data_quality_report.csv"))
     assert report.count() == 18
@@ -66,7 +86,7 @@ def test_formats_reconcile_and_text_survives(spark, tmp_path, enriched):
     flagged = evaluate_quality(enriched.withColumn("city", F.lit('Bogotá, "centro"')))
     files.persist_orders(flagged, str(tmp_path), "orders_formats")
     totals = files.reconcile(spark, str(tmp_path), flagged.schema, "orders_formats").collect()
-    assert {(r["filas"], r["suma_quantity"], round(r["suma_revenue"], 2)) for r in totals} == {(3, 6.0, 900.98)}
+    assert {(r["filas"], r["suma_quantity"], round(r["suma_revenue"], 2)) for r in totals} == {(3, 20.0, 2427.0)}
     back = files.read_csv(spark, str(tmp_path / "orders_formats.csv"), flagged.schema)
     assert back.select("order_date", "revenue", "year_month").orderBy("revenue").collect() == flagged.select(
         "order_date", "revenue", "year_month"
