@@ -132,14 +132,6 @@ def test_spearman_uses_complete_pairs(spark):
             assert got[p, q] == pytest.approx(want, abs=1e-12)
 
 
-def test_checked_broadcast_counts_first(spark):
-    from orderlens.session import checked_broadcast
-
-    big, small = spark.range(100), spark.range(5)
-    plan = lambda right: big.join(right, "id")._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in plan(checked_broadcast(small, 10)) and "broadcast" not in plan(checked_broadcast(small, 3))
-
-
 def test_shared_folder_follows_the_session(spark, tmp_path):
     from orderlens.session import shared_folder, stored
 
