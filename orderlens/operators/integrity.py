@@ -16,7 +16,10 @@ LINE_KEY = ("order_id", "line_number", "product_id")
 
 
 def first_per_key(df: DataFrame, key: str, position: Sequence[str] = ()) -> DataFrame:
-    """One row per key, the first by `position`. An aggregate, so a hot key is combined before the shuffle."""
+    """One row per key, the first by `position`; without a position, the least row.
+
+    An aggregate, so a hot key is combined before the shuffle.
+    """
     others = [c for c in df.columns if c != key]
     order = F.struct(*(list(position) or others))
     return df.groupBy(key).agg(F.min_by(F.struct(*others), order).alias("_row")).select(key, "_row.*")
@@ -34,13 +37,11 @@ def same_key(left: DataFrame, right: DataFrame, key: Sequence[str], prefix: str
 def flag_repeated(df: DataFrame, key: Sequence[str], into: str) -> DataFrame:
     """Flag every member of a repeated key (null equals null).
 
-    Only the narrow key is shuffled to find repeats; the few repeated keys then meet the wide rows
-    in a checked broadcast, so the table itself is not moved and no hot key lands in one task.
+    Only the narrow key is shuffled to find repeats; how the repeated keys then meet the wide rows is left to AQE.
     """
     repeats = repeated_keys(df, key).select(*[F.col(k).alias(f"_k_{k}") for k in key], F.lit(True).alias("_hit"))
-    small = repeats
     return (
-        df.join(small, same_key(df, small, key), "left")
+        df.join(repeats, same_key(df, repeats, key), "left")
         .withColumn(into, F.coalesce("_hit", F.lit(False)))
         .select(*df.columns, into)
     )
@@ -63,7 +64,7 @@ def order_line_check(df: DataFrame) -> DataFrame:
     """Observed lines against the number the order declares."""
     return df.groupBy("order_id").agg(
         F.count("line_number").alias("observed_lines"),
-        F.min_by("reported_total_products", "line_number").alias("reported_lines"),
+        F.min_by("reported_total_products", F.struct("line_number", "reported_total_products")).alias("reported_lines"),
     ).withColumn("difference", F.col("observed_lines") - F.col("reported_lines"))
 
 
@@ -93,12 +94,6 @@ def master_validation(df: DataFrame) -> DataFrame:
     return totals.crossJoin(repeats)  # two one-row frames
 
 
-def column_types(df: DataFrame) -> DataFrame:
-    return df.sparkSession.createDataFrame(
-        [(f.name, f.dataType.simpleString()) for f in df.schema.fields], "column string, type string"
-    )
-
-
 def check_master(df: DataFrame) -> dict[str, object]:
     """Strict form: raise on a missing column, an empty table, a repeated line key or a wrong revenue."""
     missing = sorted(set(REQUIRED_COLUMNS).difference(df.columns))
@@ -163,10 +158,11 @@ def price_discount_checks(df: DataFrame) -> DataFrame:
 
 
 def first_status_per_order(df: DataFrame) -> DataFrame:
-    return df.groupBy("order_id").agg(F.min_by("order_status", "line_number").alias("order_status"))
+    """The status on the first line; where a line number repeats, the first of its labels."""
+    return df.groupBy("order_id").agg(F.min_by("order_status", F.struct("line_number", "order_status")).alias("order_status"))
 
 
 def order_product_pairs(df: DataFrame, *attributes: str) -> DataFrame:
-    """One row per (order, product) with the attributes of its first line."""
-    picked = F.min_by(F.struct(*attributes), "line_number").alias("_row")
+    """One row per (order, product) with the attributes of its first line; where its number repeats, the least of them."""
+    picked = F.min_by(F.struct(*attributes), F.struct("line_number", *attributes)).alias("_row")
     return df.groupBy("order_id", "product_id").agg(picked).select("order_id", "product_id", "_row.*")

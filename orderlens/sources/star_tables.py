@@ -124,27 +124,32 @@ def lines(spark: SparkSession, folder: str, declared: bool = True) -> DataFrame:
 
 
 def carts(spark: SparkSession, folder: str) -> DataFrame:
-    """Order documents with a nested product array; an order without lines has an empty one.
+    """Order documents with all their lines in a nested product array; an order without lines has an empty one.
 
-    One document per line, so that no order has to be collected into one array.
+    An array is as long as one order. Lines stand in the order of their number, then part, price, quantity and discount.
     """
-    items, orders = table(spark, folder, "lineitem"), table(spark, folder, "orders")
-    product = F.struct(
-        F.col("l_partkey").alias("id"),
-        F.lit(None).cast("string").alias("title"),
-        F.col("l_extendedprice").alias("price"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        F.lit(None).cast("string").alias("category"),
-        F.round(F.col("l_discount") * 100, 2).alias("discountPercentage"),
+    line = F.struct("l_linenumber", "l_partkey", "l_extendedprice", "l_quantity", "l_discount")
+    items = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(line)).alias("_lines"))
+    products_ = F.transform(
+        F.coalesce("_lines", F.array().cast(items.schema["_lines"].dataType)),
+        lambda x: F.struct(
+            x["l_partkey"].alias("id"),
+            F.lit(None).cast("string").alias("title"),
+            x["l_extendedprice"].alias("price"),
+            x["l_quantity"].cast("int").alias("quantity"),
+            F.lit(None).cast("string").alias("category"),
+            F.round(x["l_discount"] * 100, 2).alias("discountPercentage"),
+        ),
     )
+    orders = table(spark, folder, "orders")
     return orders.join(items, F.col("l_orderkey") == F.col("o_orderkey"), "left").select(
         F.col("o_orderkey").alias("id"),
         F.col("o_custkey").alias("userId"),
-        F.when(F.col("l_orderkey").isNull(), 0).otherwise(1).alias("totalProducts"),
+        F.size(products_).alias("totalProducts"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("orderDate"),
         _raw_status().alias("status"),
         F.col("o_orderpriority").alias("channel"),
-        F.filter(F.array(product), lambda item: item["id"].isNotNull()).alias("products"),
+        products_.alias("products"),
     )
 
 

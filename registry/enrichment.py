@@ -17,30 +17,63 @@ UNFLAGGED = [c for c in enrich.ENRICHED_COLUMNS if c not in enrich.QUALITY_COLUM
 
 
 # ---------------------------------------------------------------- sources
+PAGE_SIZE = 30
+
+
 def _customer_pages(spark, sf):
-    """The customer table as landed pages of one record each."""
-    total = star.table(spark, sf, "customer").agg(F.count(F.lit(1)).alias("total"))
-    return star.table(spark, sf, "customer").crossJoin(total).select(  # one row
-        "total", F.col("c_custkey").alias("skip"), F.lit(1).cast("long").alias("limit"),
-        F.array(F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("firstName"))).alias("users"),
-    )
+    """The customer table landed as JSON lines in the shared folder, PAGE_SIZE records a page in the order of their ids,
+    which count up from 0. Returns the folder."""
+    customers = star.table(spark, sf, "customer")
+    total = customers.count()
+    folder = f"{shared_folder(spark)}/pages-{uuid.uuid4().hex}"
+    skip = F.floor(F.col("c_custkey") / PAGE_SIZE) * PAGE_SIZE
+    record = F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("firstName"))
+    customers.groupBy(skip.alias("skip")).agg(F.array_sort(F.collect_list(record)).alias("users")).select(  # one page
+        F.lit(total).alias("total"), "skip", F.lit(PAGE_SIZE).alias("limit"), "users"
+    ).write.json(folder)
+    return folder
 
 
 @register(
     "page_contract_users",
-    "SELECT count(*) AS pages, count(*) AS records, count(*) AS total, 0 AS missing_fields, 0 AS repeated_offsets, "
-    "min(c_custkey) AS first_offset, 0 AS broken_offsets, 0 AS missing_records, min(c_custkey) AS violations FROM customer",
+    f"SELECT CAST(ceil(count(*) / {PAGE_SIZE}) AS BIGINT) AS pages, count(*) AS records, count(*) AS total, 0 AS missing_fields, "
+    "0 AS repeated_offsets, 0 AS first_offset, 0 AS broken_offsets, 0 AS missing_records, 0 AS violations FROM customer",
 )
 def page_contract_users(spark, sf):
-    return pages.page_contract(_customer_pages(spark, sf), "users").select(
+    return pages.page_contract(pages.read_pages(spark, _customer_pages(spark, sf), "users"), "users").select(
         "pages", "records", "total", "missing_fields", "repeated_offsets", "first_offset", "broken_offsets",
         "missing_records", "violations",
     )
 
 
-@register("page_records_users", "SELECT c_custkey AS id, c_name AS \"firstName\" FROM customer")
+_LANDED = (
+    f"SELECT c_custkey AS id, c_name AS \"firstName\", c_custkey // {PAGE_SIZE} * {PAGE_SIZE} AS _page_skip, "
+    f"CAST(c_custkey % {PAGE_SIZE} AS INTEGER) AS _page_item FROM customer"
+)
+
+
+@register("page_records_users", _LANDED)
 def page_records_users(spark, sf):
-    return pages.page_records(_customer_pages(spark, sf), "users").select("id", "firstName")
+    landed = pages.read_pages(spark, _customer_pages(spark, sf), "users")
+    return pages.page_records(landed, "users").select("id", "firstName", *pages.POSITION)
+
+
+@register("read_collection_users", _LANDED)
+def read_collection_users(spark, sf):
+    """The same through the contract check, which raises where a page is missing."""
+    return pages.read_collection(spark, _customer_pages(spark, sf), "users").select("id", "firstName", *pages.POSITION)
+
+
+@register(
+    "first_product_record",
+    "SELECT p_partkey AS product_id, p_name AS catalog_product_name, p_brand AS brand FROM part",
+)
+def first_product_record(spark, sf):
+    """Every seventh product comes again on a later page under a name that sorts first; the earlier record stays."""
+    catalog = star.products(spark, sf).withColumns({pages.PAGE: F.col("id"), pages.ITEM: F.lit(0)})
+    again = catalog.filter("id % 7 = 0").withColumns({"title": F.lit("!"), "brand": F.lit("!"), pages.PAGE: F.col("id") + 1_000_000_000_000})
+    dimension = enrich.prepare_products(catalog.unionByName(again), pages.POSITION, flag_sku=False)
+    return dimension.select("product_id", "catalog_product_name", "brand")
 
 
 @register(
@@ -89,13 +122,15 @@ def reconcile_formats(spark, sf):
 # ---------------------------------------------------------------- enrichment
 @register(
     "normalize_carts",
-    "SELECT o_orderkey AS order_id, o_custkey AS user_id, strftime(o_orderdate, '%Y-%m-%d') AS order_date, 1 AS line_number, "
+    "SELECT o_orderkey AS order_id, o_custkey AS user_id, strftime(o_orderdate, '%Y-%m-%d') AS order_date, "
+    "CAST(row_number() OVER (PARTITION BY o_orderkey ORDER BY l_linenumber, l_partkey, l_extendedprice, l_quantity, l_discount) "
+    "AS INTEGER) AS line_number, CAST(count(*) OVER (PARTITION BY o_orderkey) AS INTEGER) AS reported_total_products, "
     "l_partkey AS product_id, l_extendedprice AS unit_price, CAST(l_quantity AS INTEGER) AS quantity "
     "FROM orders JOIN lineitem ON l_orderkey = o_orderkey",
 )
 def normalize_carts(spark, sf):
     return enrich.normalize_carts(star.carts(spark, sf)).select(
-        "order_id", "user_id", "order_date", "line_number", "product_id", "unit_price", "quantity"
+        "order_id", "user_id", "order_date", "line_number", "reported_total_products", "product_id", "unit_price", "quantity"
     )
 
 
@@ -456,15 +491,19 @@ def user_trace(spark, sf):
 
 
 # ---------------------------------------------------------------- profiles
-_PROFILED = [
-    "order_status", "channel", "line_number", "quantity", "inventory", "rating", "country", "city", "price_segment",
-    "year", "quarter", "month_name", "delivered_flag", "discount_percentage", "age",
-]
-_SQL_TYPES = {
-    "order_status": "string", "channel": "string", "line_number": "int", "quantity": "double", "inventory": "double",
-    "rating": "double", "country": "string", "city": "string", "price_segment": "string", "year": "int", "quarter": "int",
-    "month_name": "string", "delivered_flag": "int", "discount_percentage": "double", "age": "int",
-}
+_PROFILED = UNFLAGGED
+_SQL_TYPES = dict.fromkeys(_PROFILED, "string")
+_SQL_TYPES |= dict.fromkeys(("order_id", "user_id", "product_id"), "bigint")
+_SQL_TYPES |= dict.fromkeys(
+    ("line_number", "reported_total_products", "age", "year", "quarter", "month", "delivered_flag", "canceled_flag"), "int"
+)
+_SQL_TYPES |= dict.fromkeys(
+    ("quantity", "line_discount_percentage", "catalog_discount_percentage", "discount_percentage", "inventory", "rating",
+     "reviews", "price_difference_pct"), "double",
+)
+_SQL_TYPES |= dict.fromkeys(("catalog_duplicate_flag", "product_match_flag", "user_match_flag"), "boolean")
+_SQL_TYPES |= {"order_date": "date"} | dict.fromkeys(("unit_price", "catalog_price", "revenue"), star.MONEY)
+_SQL_TYPES["price_difference"] = "decimal(19,2)"
 
 
 @register(
@@ -481,12 +520,13 @@ def schema_report(spark, sf):
     return profile.schema_report(star.enriched(spark, sf, *_PROFILED))
 
 
-_SOURCES = dict.fromkeys(("order_status", "channel", "line_number", "quantity"), "carts")
-_SOURCES |= dict.fromkeys(("inventory", "rating"), "products") | dict.fromkeys(("country", "city", "age"), "users")
+_SOURCES = dict.fromkeys(enrich.LINE_COLUMNS, "carts")
+_SOURCES |= dict.fromkeys(set(enrich.PRODUCT_COLUMNS) - {"catalog_duplicate_flag"}, "products")
+_SOURCES |= dict.fromkeys(set(enrich.USER_COLUMNS) - {"customer_name", "country_original"}, "users")
 
 
 def _dictionary_sql(c: str) -> str:
-    numeric = _SQL_TYPES[c] in ("int", "double")
+    numeric = _SQL_TYPES[c].startswith(("int", "bigint", "double", "decimal"))
     listed = f"(SELECT string_agg(v, ', ' ORDER BY v) FROM (SELECT DISTINCT CAST({c} AS VARCHAR) AS v FROM e WHERE {c} IS NOT NULL))"
     wide = (
         f"printf('Rango observado: %.2f a %.2f', CAST(min({c}) AS DOUBLE), CAST(max({c}) AS DOUBLE))"

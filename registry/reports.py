@@ -485,16 +485,24 @@ def _flagged(spark, sf, *columns):
     return outliers.flag_outliers(star.master(spark, sf, *dict.fromkeys((*columns, *_MEASURED))), _MEASURED)
 
 
+def _low_high(c: str) -> str:
+    q1, q3 = _Q.format(c=c, p=0.25), _Q.format(c=c, p=0.75)
+    return f"{q1} - 1.5 * ({q3} - {q1}) AS lo_{c}, {q3} + 1.5 * ({q3} - {q1}) AS hi_{c}"
+
+
 @register(
     "outlier_flags",
     lines_with(
-        _FLAGGED,
-        "SELECT order_id, line_number, product_id, unit_price, revenue, pu AS unit_price_outlier_iqr, pr AS revenue_outlier_iqr, "
-        "pu OR pr AS any_outlier_iqr, concat_ws(', ', CASE WHEN pu THEN 'unit_price' END, CASE WHEN pr THEN 'revenue' END) AS outlier_variables FROM f",
+        "edges AS (SELECT " + ", ".join(map(_low_high, _STUDY)) + " FROM e), f AS (SELECT order_id, line_number, product_id, "
+        + ", ".join(f"coalesce(CAST({c} AS DOUBLE) < lo_{c} OR CAST({c} AS DOUBLE) > hi_{c}, FALSE) AS {c}_outlier_iqr" for c in _STUDY)
+        + " FROM e CROSS JOIN edges)",
+        "SELECT *, " + " OR ".join(f"{c}_outlier_iqr" for c in _STUDY) + " AS any_outlier_iqr, concat_ws(', ', "
+        + ", ".join(f"CASE WHEN {c}_outlier_iqr THEN '{c}' END" for c in _STUDY) + ") AS outlier_variables FROM f",
     ),
 )
 def outlier_flags(spark, sf):
-    return _flagged(spark, sf, *LINE_KEY)
+    """All eight measures on every line."""
+    return outliers.flag_outliers(star.master(spark, sf, *LINE_KEY, *_STUDY)).drop(*_STUDY)
 
 
 @register(
