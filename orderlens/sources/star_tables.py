@@ -95,6 +95,12 @@ def _raw_status() -> Column:
     )
 
 
+def _raw_channel() -> Column:
+    """A fifteenth of the order keys, where cancelled, have a channel that no other order has."""
+    returned = ~F.col("o_orderstatus").isin("F", "O") & (F.col("o_orderkey") % 15 == 0)
+    return F.when(returned, "6-RETURNED").otherwise(F.col("o_orderpriority"))
+
+
 def lines(spark: SparkSession, folder: str, declared: bool = True) -> DataFrame:
     """Order lines as they come out of the unnesting; `declared` adds the line count of each order."""
     items, orders = table(spark, folder, "lineitem"), table(spark, folder, "orders")
@@ -105,13 +111,14 @@ def lines(spark: SparkSession, folder: str, declared: bool = True) -> DataFrame:
     else:
         total = F.lit(None).cast("int")
     price = (F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity")) / 100).cast(MONEY)
-    withheld = (F.col("l_orderkey") * 31 + F.col("l_partkey")) % 61 == 0
+    # one line in 61, and every line of one customer in 97, who are left without a valid sale
+    withheld = ((F.col("l_orderkey") * 31 + F.col("l_partkey")) % 61 == 0) | (F.col("o_custkey") % 97 == 0)
     return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("l_orderkey").alias("order_id"),
         F.col("o_custkey").alias("user_id"),
         F.col("o_orderdate").cast("date").alias("order_date"),
         _raw_status().alias("order_status"),
-        F.col("o_orderpriority").alias("channel"),
+        _raw_channel().alias("channel"),
         total.alias("reported_total_products"),
         F.col("l_linenumber").alias("line_number"),
         F.col("l_partkey").alias("product_id"),
@@ -148,7 +155,7 @@ def carts(spark: SparkSession, folder: str) -> DataFrame:
         F.size(products_).alias("totalProducts"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("orderDate"),
         _raw_status().alias("status"),
-        F.col("o_orderpriority").alias("channel"),
+        _raw_channel().alias("channel"),
         products_.alias("products"),
     )
 

@@ -54,11 +54,11 @@ raw AS (
               WHEN o_orderkey % 3 = 0 THEN 'CANCELED' ELSE 'shipped' END AS status_original,
          CASE WHEN o_orderstatus = 'F' THEN 'delivered' WHEN o_orderstatus = 'O' THEN 'confirmed'
               WHEN o_orderkey % 3 = 0 THEN 'cancelled' ELSE 'shipped' END AS order_status,
-         o_orderpriority AS channel,
+         CASE WHEN o_orderstatus NOT IN ('F', 'O') AND o_orderkey % 15 = 0 THEN '6-RETURNED' ELSE o_orderpriority END AS channel,
          CAST(n - CASE WHEN o_orderkey % 101 = 0 THEN 1 ELSE 0 END AS INTEGER) AS reported_total_products,
          l_linenumber AS line_number, l_partkey AS product_id,
          CAST(floor(l_extendedprice * 100 / l_quantity) / 100 AS DECIMAL(18,2)) AS unit_price,
-         CASE WHEN (l_orderkey * 31 + l_partkey) % 61 <> 0 THEN l_quantity END AS quantity,
+         CASE WHEN (l_orderkey * 31 + l_partkey) % 61 <> 0 AND o_custkey % 97 <> 0 THEN l_quantity END AS quantity,
          CASE WHEN l_partkey % 13 <> 0 THEN round(l_discount * 100, 2) END AS line_discount_percentage
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN order_counts ON k = o_orderkey),
 priced AS (
