@@ -143,15 +143,18 @@ def plan(docs: DataFrame, seed: str = "mix", most: int = MOST) -> DataFrame:
     return stored(result.join(last.withColumnRenamed("source", "_source"), _same("source", "_source"), "left").drop("_source"))
 
 
-def with_copies(docs: DataFrame, seed: str = "mix", most: int = MOST) -> DataFrame:
-    """The rows of docs with _size, _source_size, _target and _copies; no shuffle of the texts unless the plan is large."""
+def with_copies(docs: DataFrame, seed: str = "mix", most: int = MOST, carry: bool = True) -> DataFrame:
+    """row (the whole input row as a struct; null if `carry` is off), doc_id, source, _size, _source_size, _target and
+    _copies for every row of docs; no shuffle of the texts unless the plan is large."""
     rules = plan(docs, seed, most)
     rules = rules.select(*(F.col(c).alias(f"_{c}") for c in rules.columns)).withColumnRenamed("_class", "_rule_class")
-    rows = _ranked(docs, seed).join(rules, F.col("source").cast("string").eqNullSafe(F.col("_source")) & (F.col("_class") == F.col("_rule_class")))
+    row = F.struct("*") if carry else F.lit(None).cast("boolean")
+    rows = _ranked(docs.select(row.alias("row"), "doc_id", "text", "source"), seed)
+    rows = rows.join(rules, F.col("source").cast("string").eqNullSafe(F.col("_source")) & (F.col("_class") == F.col("_rule_class")))
     size, rank = F.col("_size"), _rank(F.col("_u"), F.col("_share"), F.col("_size"))
     closing = (rank == F.col("_last.rank")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_last.doc_id")) & (size == F.col("_last.size"))
     one = _drawn(F.col("_draws"), size, rank) | F.coalesce(closing, F.lit(False))
-    return rows.withColumn("_copies", F.col("_whole") + one.cast("long")).select(*docs.columns, "_size", "_source_size", "_target", "_copies")
+    return rows.withColumn("_copies", F.col("_whole") + one.cast("long")).select("row", "doc_id", "source", "_size", "_source_size", "_target", "_copies")
 
 
 def mix(docs: DataFrame, seed: str = "mix", most: int = MOST) -> DataFrame:
@@ -167,8 +170,7 @@ def mix(docs: DataFrame, seed: str = "mix", most: int = MOST) -> DataFrame:
     empty texts have no words and take none. A null source is a source. Further columns are ignored; an empty table
     gives no rows.
     """
-    named = docs.select("doc_id", "text", "source")
-    return with_copies(named, seed, most).select(
+    return with_copies(docs, seed, most, carry=False).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("_size").alias("size"),
         F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.col("_copies").alias("copies"),
         (F.col("_copies") * F.col("_size")).alias("taken"),
@@ -176,6 +178,7 @@ def mix(docs: DataFrame, seed: str = "mix", most: int = MOST) -> DataFrame:
 
 
 def mixed(docs: DataFrame, seed: str = "mix", most: int = MOST) -> DataFrame:
-    """The rows of docs, each as often as the mix takes it. Columns of docs must not begin with an underscore."""
+    """The rows of docs with all their columns, whatever their names, each as often as the mix takes it."""
     rows = with_copies(docs, seed, most).filter("_copies > 0")
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).select(*docs.columns)
+    copies = rows.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")).alias("_copy"))
+    return copies.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))

@@ -202,12 +202,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, seed: int = SEED, bucket: int = BUCKET) -> DataFrame:
     """The rows of docs, with all their columns, of which one of each component is left: the one with the least id (a
-    null id is greater than any). Rows equal in id and text leave one. Columns of docs must not begin with an underscore."""
+    null id is greater than any). Rows equal in id and text leave one. Columns of docs may have any names."""
     least = _classes(docs, shingle, distance, seed, bucket).groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "copy")).alias("k"))
-    kept = least.select(F.coalesce("k.doc_id", F.lit(0)).alias("_id"), F.col("k.none").alias("_none"), F.col("k.copy").alias("_copy"))
+    kept = least.select(F.coalesce("k.doc_id", F.lit(0)).alias("id"), F.col("k.none").alias("none"), F.col("k.copy").alias("copy"))
     identity = F.col("doc_id").cast("long")
-    rows = docs.withColumns({"_id": F.coalesce(identity, F.lit(0)), "_none": identity.isNull(), "_copy": F.xxhash64(F.col("text").cast("string"))})
-    return rows.join(kept, ["_id", "_none", "_copy"]).dropDuplicates(["_id", "_none", "_copy"]).select(*docs.columns)
+    key = {"id": F.coalesce(identity, F.lit(0)), "none": identity.isNull(), "copy": F.xxhash64(F.col("text").cast("string"))}
+    rows = docs.select(F.struct("*").alias("row"), *(c.alias(name) for name, c in key.items()))
+    left = rows.join(kept, list(key)).dropDuplicates(list(key))
+    return left.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
 def hexadecimal(bits: Column) -> Column:

@@ -125,6 +125,19 @@ def test_simhash_against_brute_force(docs, empty):
     assert kept.columns == docs.columns and kept.count() == len({c for c in classes(bits, [i for i, _ in known])})
 
 
+def test_rows_with_clashing_columns_pass_unchanged(docs, empty):
+    names = ["_id", "_none", "_copy", "_size", "_u", "_class", "_rule_class", "_source", "_copies", "row", "id", "none"]
+    key = lambda r: repr(tuple(r))
+    for frame in (docs, empty):
+        wide = frame.withColumns({c: F.concat(F.lit(c), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))) for c in names})
+        given = {key(r) for r in wide.collect()}
+        for result, plain in ((simhash.one_of_each(wide), simhash.one_of_each(frame)), (mixing.mixed(wide), mixing.mixed(frame))):
+            assert result.columns == wide.columns
+            found = result.collect()
+            assert {key(r) for r in found} <= given
+            assert sorted(key(r[: len(frame.columns)]) for r in found) == sorted(map(key, plain.collect()))
+
+
 @pytest.mark.parametrize("bucket", [4, simhash.BUCKET])
 def test_links_in_full_buckets(spark, bucket):
     """Clusters of fingerprints a few bits apart; with tiny buckets everything goes through the second cut."""
