@@ -107,12 +107,14 @@ class _Bracket:
 def value_ranges(df: DataFrame, column: str, parts: int, into: str) -> tuple[DataFrame, list[float]]:
     """Ascending range number of a numeric column, about one range per part.
 
-    A value at a cut gets a (half-numbered) range of its own. Values that span whole parts are
-    returned as well: they are the ones worth cutting again by another column.
+    A value at a cut gets a (half-numbered) range of its own, nulls come before all. Values that span whole
+    parts are returned as well: they are the ones worth cutting again by another column.
     """
     raw = df.agg(
         F.percentile_approx(column, [i / parts for i in range(1, parts)], max(SKETCH_ACCURACY, 10 * parts)).alias("e")
     ).first()["e"]
+    if raw is None:  # no value at all
+        return df.withColumn(into, F.lit(-1.0)), []
     cuts = sorted({float(c) for c in raw})
     heavy = [c for c in cuts if raw.count(c) > 1]
     ranged = Bucketizer(
@@ -120,7 +122,8 @@ def value_ranges(df: DataFrame, column: str, parts: int, into: str) -> tuple[Dat
     ).transform(df)
     starts = F.array(F.lit(-math.inf), *[F.lit(c) for c in cuts])
     at_cut = F.col(column) == F.element_at(starts, F.least(F.col(into), F.lit(len(cuts))).cast("int") + 1)
-    return ranged.withColumn(into, F.when(at_cut, F.col(into) - 0.5).otherwise(F.col(into))), heavy
+    number = F.when(F.col(column).isNull(), -1.0).when(at_cut, F.col(into) - 0.5).otherwise(F.col(into))
+    return ranged.withColumn(into, number), heavy
 
 
 def running_totals(
@@ -134,9 +137,9 @@ def running_totals(
 ) -> DataFrame:
     """Inclusive prefix sums of `totals` along `order` (then `tie`), per group of the non-null `by`.
 
-    A small frame takes one window. A larger one is cut into value ranges: each range is one window
-    partition, and the sums of the earlier ranges come from a frame with one row per range. A value
-    with very many rows is cut again by `tie`, so no task holds more than its share.
+    The rows are cut into value ranges, two at least: each range is one window partition, and the sums of the
+    earlier ranges come from a frame with one row per range. A value with very many rows is cut again by
+    `tie`, so no task holds more than its share. Beyond MAX_RANGES ranges, ranges grow instead.
     """
     names = list(totals)
     base = materialize(
@@ -149,12 +152,7 @@ def running_totals(
         )
     )
     order_keys = ["_x", "_t"] if tie else ["_x"]
-    rows = base.count()
-    if rows <= rows_per_range:
-        window = Window.partitionBy(*by).orderBy(*order_keys).rowsBetween(Window.unboundedPreceding, 0)
-        return base.select(*df.columns, *[F.sum(f"_v_{n}").over(window).alias(n) for n in names])
-
-    parts = min(max(rows // rows_per_range, 2), MAX_RANGES)
+    parts = min(max(base.count() // rows_per_range, 2), MAX_RANGES)
     ranged, heavy = value_ranges(base, "_x", parts, "_range")
     keys = [*by, "_range"]
     if tie and heavy:

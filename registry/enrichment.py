@@ -103,16 +103,14 @@ def detail_mismatches_orders(spark, sf):
 @register(
     "reconcile_formats",
     lines(
-        "SELECT f.formato, 8 AS columnas, count(*) AS filas, count(*) - count(quantity) AS quantity_nula, "
+        f"SELECT f.formato, {len(enrich.ENRICHED_COLUMNS)} AS columnas, count(*) AS filas, count(*) - count(quantity) AS quantity_nula, "
         "sum(quantity) AS suma_quantity, CAST(sum(revenue) AS DOUBLE) AS suma_revenue "
         "FROM e CROSS JOIN (VALUES ('CSV'), ('Parquet'), ('SQL')) AS f(formato) GROUP BY f.formato"
     ),
 )
 def reconcile_formats(spark, sf):
     """Writes the table in three formats into the shared folder and reads each one back."""
-    df = star.enriched(
-        spark, sf, "order_id", "line_number", "product_id", "user_id", "quantity", "unit_price", "revenue", "year_month"
-    )
+    df = star.enriched(spark, sf)
     run = uuid.uuid4().hex
     folder = f"{shared_folder(spark)}/formats-{run}"
     files.write_formats(df, folder, f"orders_{run}")
@@ -263,16 +261,14 @@ def integrity_summary(spark, sf):
     "master_validation",
     lines_with(
         "k AS (SELECT count(*) AS n FROM e GROUP BY order_id, line_number, product_id HAVING count(*) > 1)",
-        "SELECT count(*) AS rows, 7 AS columns, sum(quantity) AS quantity_sum, CAST(sum(revenue) AS DOUBLE) AS revenue_sum, "
+        f"SELECT count(*) AS rows, {len(enrich.ENRICHED_COLUMNS)} AS columns, sum(quantity) AS quantity_sum, CAST(sum(revenue) AS DOUBLE) AS revenue_sum, "
         "count(*) FILTER (order_id IS NULL) AS missing_order_id, count(*) FILTER (user_id IS NULL) AS missing_user_id, "
         "count(*) FILTER (product_id IS NULL) AS missing_product_id, 0 AS revenue_mismatches, "
         "CAST(coalesce((SELECT sum(n) - count(n) FROM k), 0) AS BIGINT) AS duplicate_lines FROM e",
     ),
 )
 def master_validation(spark, sf):
-    return integrity.master_validation(
-        star.enriched(spark, sf, *integrity.LINE_KEY, "user_id", "unit_price", "quantity", "revenue")
-    )
+    return integrity.master_validation(star.enriched(spark, sf))
 
 
 @register(
@@ -474,15 +470,10 @@ def categories(spark, sf):
 
 @register(
     "rows_with_nulls",
-    lines(
-        "SELECT order_id, line_number, product_id, quantity, revenue, inventory, rating FROM e "
-        "WHERE quantity IS NULL OR revenue IS NULL OR inventory IS NULL OR rating IS NULL"
-    ),
+    lines(f"SELECT {', '.join(UNFLAGGED)} FROM e WHERE {' OR '.join(f'{c} IS NULL' for c in UNFLAGGED)}"),
 )
 def rows_with_nulls(spark, sf):
-    return filters.rows_with_nulls(
-        star.enriched(spark, sf, *integrity.LINE_KEY, "quantity", "revenue", "inventory", "rating")
-    )
+    return filters.rows_with_nulls(star.enriched(spark, sf, *UNFLAGGED))
 
 
 @register("user_trace", lines("SELECT order_id, line_number, product_id, user_id, quantity, revenue FROM e WHERE user_id = 23"))

@@ -139,3 +139,13 @@ def test_shared_folder_follows_the_session(spark, tmp_path):
     assert shared_folder(spark) == (named or spark.sparkContext.getCheckpointDir())
     frame = spark.range(20).withColumn("d", F.col("id").cast("decimal(18,4)"))
     assert stored(frame).dtypes == frame.dtypes and stored(frame).count() == 20
+
+
+def test_running_totals_of_few_rows_nulls_and_none(spark):
+    totals = lambda rows: sorted(
+        (r["k"], r["c"]) for r in ordered.running_totals(spark.createDataFrame(rows, "k long, v double"), "v", {"c": F.col("k")}, tie="k").collect()
+    )
+    assert totals([(1, 5.0), (2, None), (4, 3.0), (8, 3.0), (16, None)]) == [(1, 31), (2, 2), (4, 22), (8, 30), (16, 18)]
+    assert totals([(1, None), (2, None)]) == [(1, 1), (2, 3)]
+    assert totals([(1, 5.0)]) == [(1, 1)]
+    assert totals([]) == []
