@@ -204,6 +204,11 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANC
     """The rows of docs, with all their columns, of which one of each component is left: the one with the least id (a
     null id is greater than any). Rows equal in id and text leave one. Columns of docs may have any names."""
     least = _classes(docs, shingle, distance, seed, bucket).groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "copy")).alias("k"))
+    return rows_at(docs, least)
+
+
+def rows_at(docs: DataFrame, least: DataFrame) -> DataFrame:
+    """The rows of docs, with all their columns, that the keys k (none, doc_id, copy) name; rows equal in id and text leave one."""
     kept = least.select(F.coalesce("k.doc_id", F.lit(0)).alias("id"), F.col("k.none").alias("none"), F.col("k.copy").alias("copy"))
     identity = F.col("doc_id").cast("long")
     key = {"id": F.coalesce(identity, F.lit(0)), "none": identity.isNull(), "copy": F.xxhash64(F.col("text").cast("string"))}
