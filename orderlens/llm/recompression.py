@@ -92,8 +92,9 @@ def _window_hashes(wanted: DataFrame, window: int) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, copy, cover: the starts of windows that also start in a document with a smaller id, as (low, count)."""
-    texts = _texts(docs)
+    """doc_id, copy, cover: the starts of windows that also start in a document with a smaller id, as (low, count).
+    Rows without an id are left out: as least of a content, a null would hide its windows in all other documents."""
+    texts = _texts(docs).filter("doc_id is not null")
     spans = stored(anchored_spans(texts, window))
     # what is joined is a written table on either side, so that AQE may split a hot name
     shared = stored(spans.groupBy("name").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("name"))

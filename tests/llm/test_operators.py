@@ -82,6 +82,18 @@ def test_repeats_against_brute_force(spark, docs, empty):
     assert recompression.remove_repeats(empty).count() == 0
 
 
+def test_repeats_beside_rows_without_id(spark, docs):
+    """A copy under a null id neither loses its words nor keeps the passage in the documents that have ids."""
+    known = {r[0]: r[1] for r in rows() if r[0] is not None}
+    want = recompression.brute_force(list(known.items()))
+    nameless = [(None, prose(2, 120)), (None, prose(2, 120)), (None, known[0] + known[3])]
+    table = docs.select("doc_id", "text").unionByName(spark.createDataFrame(nameless, "doc_id long, text string"))
+    got = Counter((r["doc_id"], r["n_words"], r["n_removed"], hashlib.sha256(r["kept"].encode()).hexdigest()) for r in recompression.remove_repeats(table).collect())
+    ids = [r[0] for r in rows() if r[0] is not None]
+    whole = [WORD.findall(t or "") for t in [r[1] for r in rows() if r[0] is None] + [t for _, t in nameless]]
+    assert got == Counter((i, *want[i]) for i in ids) + Counter((None, len(w), 0, hashlib.sha256(" ".join(w).encode()).hexdigest()) for w in whole)
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_repeats_in_small_alphabets(spark, seed):
     """Runs and periods, where symbols are hardest to keep apart."""
