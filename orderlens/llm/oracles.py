@@ -164,3 +164,76 @@ numbered AS (SELECT *, least((before * 2 + size) * 16 // (2 * total), 15)::INTEG
 SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, n - min(n) OVER (PARTITION BY shard) AS slot, CAST(NULL AS INTEGER) AS grown_shard
 FROM numbered
 """
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# Pairs that share a shingle, then the least id over their links, as far as they reach.
+JACCARD = rf"""
+WITH RECURSIVE split AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{SPACES}') AS ws FROM documents),
+tokens AS (
+  SELECT doc_id, unnest(list_distinct([array_to_string(ws[i:i + 3], ' ') FOR i IN range(1, greatest(len(ws) - 3, 1) + 1)])) AS t
+  FROM split WHERE len(ws) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM tokens GROUP BY 1),
+same AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM tokens a JOIN tokens b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT x, y FROM same JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * shared >= 85 * (a.n + b.n - shared)),
+edges AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reached AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, e.y FROM reached r JOIN edges e ON r.y = e.x)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
+JOIN (SELECT x, min(y) AS component_id FROM reached GROUP BY 1) c ON c.x = d.doc_id
+"""
+
+DIVERGENCE = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all({_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM documents),
+occurring AS (SELECT id, lang, source, unnest(ts) AS term FROM docs),
+kept AS (SELECT lang, term, count(*)::HUGEINT AS total FROM occurring GROUP BY 1, 2 HAVING count(DISTINCT id) >= 3),
+langs AS (SELECT lang, count(*)::HUGEINT AS v, sum(total)::HUGEINT AS alls FROM kept GROUP BY 1),
+counts AS (SELECT lang, source, term, count(*)::HUGEINT AS c FROM occurring JOIN kept USING (lang, term) GROUP BY 1, 2, 3),
+groups AS (
+  SELECT g.lang, g.source, coalesce(sum(c), 0)::HUGEINT AS n
+  FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN counts USING (lang, source) GROUP BY 1, 2),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c, 0) AS c, (1 + 1000000000 * (coalesce(c, 0) + 1) // (n + v))::HUGEINT AS p,
+         (1 + 1000000000 * (total + 1) // (alls + v))::HUGEINT AS q
+  FROM groups g JOIN kept k USING (lang) JOIN langs USING (lang) LEFT JOIN counts USING (lang, source, term)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM shares WHERE c > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
+SELECT lang, source, part, item, value, rank::INT AS rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+COLLOCATIONS = rf"""
+WITH parts AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS part FROM documents),
+split AS (SELECT lang, regexp_extract_all(part, '[^\x20\x09]+') AS ws FROM parts),
+totals AS (SELECT lang, sum(len(ws))::HUGEINT AS n FROM split GROUP BY 1),
+placed AS (SELECT lang, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM split, unnest(range(1, 6)) t(m)),
+grams AS (SELECT lang, ws[i:i + m - 1] AS g, count(*)::HUGEINT AS a FROM placed GROUP BY 1, 2 HAVING count(*) >= 100),
+cuts AS (SELECT lang, g, a, unnest(range(1, len(g))) AS k FROM grams WHERE len(g) > 1),
+scored AS (
+  SELECT c.lang, c.g, c.a, k, x.a AS l, y.a AS r, 1000 * c.a * n // (x.a * y.a) AS score
+  FROM cuts c JOIN totals USING (lang) JOIN grams x ON x.lang = c.lang AND x.g = c.g[1:k] JOIN grams y ON y.lang = c.lang AND y.g = c.g[k + 1:]),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, k) AS place FROM scored),
+covered AS (
+  SELECT DISTINCT x.lang, x.g FROM (SELECT lang, a, g[i:i + m - 1] AS g FROM (
+    SELECT lang, a, g, m, unnest(range(1, len(g) - m + 2)) AS i FROM grams, unnest(range(2, 5)) t(m) WHERE len(g) > m)) x
+  JOIN grams y ON y.lang = x.lang AND y.g = x.g WHERE x.a >= y.a),
+ranked AS (
+  SELECT b.*, array_to_string(g, ' ') AS phrase,
+         row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank
+  FROM best b ANTI JOIN covered USING (lang, g) WHERE place = 1)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""

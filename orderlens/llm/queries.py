@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import decontamination, language, licenses, mixing, oracles, quality, recompression, sharding, simhash, url_lists, warc
+from orderlens.llm import (
+    collocations, decontamination, divergence, jaccard_join, language, licenses, mixing, oracles, quality, recompression, sharding,
+    simhash, url_lists, warc,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -88,6 +91,18 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_rules(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op11_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.jaccard_join(_table(spark, folder, "documents"))
+
+
+def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.source_divergence(_table(spark, folder, "documents"))
+
+
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_licenses": op2_licenses,
@@ -99,6 +114,9 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_sharding": op9_sharding,
     "op10_quality": op10_quality,
+    "op11_jaccard": op11_jaccard,
+    "op12_divergence": op12_divergence,
+    "op13_collocations": op13_collocations,
 }
 
 # XXH64 (4), trained models (7, 10) and the suffix automaton's labels (2) have no SQL form: tests/llm has brute force.
@@ -109,4 +127,7 @@ SQL = {
     "op6_recompression": oracles.REPEATS,
     "op8_decontamination": oracles.CONTAINED,
     "op9_sharding": oracles.SHARDS,
+    "op11_jaccard": oracles.JACCARD,
+    "op12_divergence": oracles.DIVERGENCE,
+    "op13_collocations": oracles.COLLOCATIONS,
 }

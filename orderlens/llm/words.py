@@ -81,8 +81,8 @@ class Words:
         return mix(np.add.reduceat(terms, self.start) * down[self.start])
 
 
-def pieces(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(index of the first text, bytes, offsets) of runs of texts of bounded size; null counts as empty."""
+def pieces(texts: pa.Array, size: int = PIECE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(index of the first text, bytes, offsets) of runs of texts of about `size` bytes; null counts as empty."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
@@ -93,7 +93,7 @@ def pieces(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     first = 0
     while first < len(texts):
-        last = int(np.searchsorted(offsets, offsets[first] + PIECE_BYTES, side="right")) - 1
+        last = int(np.searchsorted(offsets, offsets[first] + size, side="right")) - 1
         last = min(max(last, first + 1), len(texts))
         yield first, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         first = last
