@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import decontamination, mixing, near_copies, quality, sharding
+from orderlens.llm import decontamination, mixing, quality, sharding, simhash
 from orderlens.session import shared_folder
 
 
@@ -17,8 +17,8 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group of near copies, linked at a Jaccard similarity of five-word shingles of 0.8."""
-    return near_copies.one_of_each(docs)
+    """The document with the least id of each group that fingerprints link: shingles of 3 words, 3 bits or fewer apart."""
+    return simhash.one_of_each(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
