@@ -85,6 +85,19 @@ def collection_counts(declared: dict[str, int], **collections: DataFrame) -> Dat
     return out.withColumn("agrees", F.col("records").eqNullSafe(F.col("declared")))
 
 
+def landed_counts(**landed: DataFrame) -> DataFrame:
+    """Records on the landed pages of each collection against the total that its envelopes declare (null without pages)."""
+    frames = [
+        df.agg(F.coalesce(F.sum(F.greatest(F.size(key), F.lit(0))), F.lit(0)).cast("long").alias("records"), F.max("total").cast("long").alias("declared"))
+        .select(F.lit(key).alias("collection"), "records", "declared")
+        for key, df in landed.items()
+    ]
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.unionByName(frame)
+    return out.withColumn("agrees", F.col("records").eqNullSafe(F.col("declared")))
+
+
 def detail_mismatches(listing: DataFrame, detail: DataFrame, key: str) -> DataFrame:
     """Keys present in one view only."""
     left, right = listing.select(key).distinct(), detail.select(key).distinct()

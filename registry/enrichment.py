@@ -20,20 +20,22 @@ UNFLAGGED = [c for c in enrich.ENRICHED_COLUMNS if c not in enrich.QUALITY_COLUM
 PAGE_SIZE = 30
 
 
-def _customer_pages(spark, sf):
-    """The customer table landed as JSON lines in the shared folder, PAGE_SIZE records a page in the order of their ids,
-    which count up from 0. Returns the folder."""
-    customers = star.table(spark, sf, "customer")
-    total = customers.count()
-    folder = f"{shared_folder(spark)}/pages-{uuid.uuid4().hex}"
-    skip = F.floor(F.col("c_custkey") / PAGE_SIZE) * PAGE_SIZE
-    record = F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("firstName"))
-    customers.groupBy(skip.alias("skip")).agg(F.array_sort(F.collect_list(record)).alias("users")).select(  # one page
-        F.lit(total).alias("total"), "skip", F.lit(PAGE_SIZE).alias("limit"), "users"
+def _landed_pages(frame, key, collection, record):
+    """A table landed as JSON lines in the shared folder, PAGE_SIZE records a page by their number `key`. Returns the folder."""
+    folder = f"{shared_folder(frame.sparkSession)}/pages-{uuid.uuid4().hex}"
+    skip = F.floor(F.col(key) / PAGE_SIZE) * PAGE_SIZE
+    frame.groupBy(skip.alias("skip")).agg(F.array_sort(F.collect_list(record)).alias(collection)).select(  # one page
+        F.lit(frame.count()).alias("total"), "skip", F.lit(PAGE_SIZE).alias("limit"), collection
     ).write.json(folder)
     return folder
 
 
+def _customer_pages(spark, sf):
+    """The customers, whose ids count up from 0."""
+    record = F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("firstName"))
+    return _landed_pages(star.table(spark, sf, "customer"), "c_custkey", "users", record)
+
+
 @register(
     "page_contract_users",
     f"SELECT CAST(ceil(count(*) / {PAGE_SIZE}) AS BIGINT) AS pages, count(*) AS records, count(*) AS total, 0 AS missing_fields, "
@@ -78,17 +80,29 @@ def first_product_record(spark, sf):
 
 @register(
     "collection_counts",
-    "SELECT 'products' AS collection, count(*) AS records, 100 AS declared, count(*) = 100 AS agrees FROM part "
-    "UNION ALL SELECT 'users', count(*), 1500, count(*) = 1500 FROM customer "
-    "UNION ALL SELECT 'carts', count(*), NULL, FALSE FROM orders",
+    "SELECT 'products' AS collection, count(*) AS records, count(*) AS declared, TRUE AS agrees FROM part UNION ALL SELECT 'users', "
+    f"count(*) FILTER (c_custkey // {PAGE_SIZE} % 11 <> 3), count(*), count(*) FILTER (c_custkey // {PAGE_SIZE} % 11 = 3) = 0 FROM customer "
+    "UNION ALL SELECT 'carts', count(*), count(*), TRUE FROM orders",
 )
 def collection_counts(spark, sf):
-    return pages.collection_counts(
-        {"products": 100, "users": 1500},
-        products=star.table(spark, sf, "part"), users=star.table(spark, sf, "customer"), carts=star.table(spark, sf, "orders"),
+    """The totals are those of the landed envelopes; every eleventh page of the users, from the fourth on, did not arrive."""
+    product = F.struct(F.col("p_partkey").alias("id"), F.col("p_name").alias("title"))
+    cart = F.struct(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("userId"))
+    users = pages.read_pages(spark, _customer_pages(spark, sf), "users")
+    return pages.landed_counts(
+        products=pages.read_pages(spark, _landed_pages(star.table(spark, sf, "part"), "p_partkey", "products", product), "products"),
+        users=users.filter(F.floor(F.col("skip") / PAGE_SIZE) % 11 != 3),
+        carts=pages.read_pages(spark, _landed_pages(star.table(spark, sf, "orders"), "o_orderkey", "carts", cart), "carts"),
     )
 
 
+@register("page_snapshot", "SELECT 'users' AS source, count(*) AS count FROM customer")
+def page_snapshot(spark, sf):
+    """Raw copy of a checked collection as JSON lines, counted where it was written."""
+    records = pages.read_collection(spark, _customer_pages(spark, sf), "users")
+    return pages.write_snapshot(records, f"{shared_folder(spark)}/snapshot-{uuid.uuid4().hex}", "users")
+
+
 @register(
     "detail_mismatches_orders",
     "SELECT DISTINCT o_orderkey AS order_id, 'listing' AS side FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem) "

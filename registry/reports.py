@@ -475,26 +475,32 @@ def iqr_report(spark, sf):
     return rounded(out, 6, "q1", "q3", "iqr", "limite_inferior", "limite_superior", "porcentaje")
 
 
-# the star tables have heavy-tailed prices, so the price takes the part that revenue has in the reports
-_FLAGGED = """f AS (SELECT e.*, coalesce(CAST(unit_price AS DOUBLE) < u1 - 1.5 * (u3 - u1) OR CAST(unit_price AS DOUBLE) > u3 + 1.5 * (u3 - u1), FALSE)
-    AS pu, coalesce(CAST(revenue AS DOUBLE) < r1 - 1.5 * (r3 - r1) OR CAST(revenue AS DOUBLE) > r3 + 1.5 * (r3 - r1), FALSE) AS pr FROM e CROSS JOIN fences)"""
-_MEASURED = ("unit_price", "revenue")
+def _low_high(c: str) -> str:
+    q1, q3 = _Q.format(c=c, p=0.25), _Q.format(c=c, p=0.75)
+    return f"{q1} - 1.5 * ({q3} - {q1}) AS lo_{c}, {q3} + 1.5 * ({q3} - {q1}) AS hi_{c}"
 
 
-def _flagged(spark, sf, *columns):
-    return outliers.flag_outliers(star.master(spark, sf, *dict.fromkeys((*columns, *_MEASURED))), _MEASURED)
+def _out(c: str) -> str:
+    return f"coalesce(CAST({c} AS DOUBLE) < lo_{c} OR CAST({c} AS DOUBLE) > hi_{c}, FALSE)"
 
 
-def _low_high(c: str) -> str:
-    q1, q3 = _Q.format(c=c, p=0.25), _Q.format(c=c, p=0.75)
-    return f"{q1} - 1.5 * ({q3} - {q1}) AS lo_{c}, {q3} + 1.5 * ({q3} - {q1}) AS hi_{c}"
+# the star tables have heavy-tailed prices, so the price takes the part that revenue has in the reports
+_FLAGGED = (
+    "edges AS (SELECT " + ", ".join(map(_low_high, _STUDY)) + " FROM e), "
+    f"f AS (SELECT e.*, {_out('unit_price')} AS pu, {_out('revenue')} AS pr, " + " OR ".join(map(_out, _STUDY)) + " AS any_outlier_iqr, "
+    "concat_ws(', ', " + ", ".join(f"CASE WHEN {_out(c)} THEN '{c}' END" for c in _STUDY) + ") AS outlier_variables FROM e CROSS JOIN edges)"
+)
+
+
+def _flagged(spark, sf, *columns, measures=_STUDY):
+    return outliers.flag_outliers(star.master(spark, sf, *dict.fromkeys((*columns, *measures))), measures)
 
 
 @register(
     "outlier_flags",
     lines_with(
         "edges AS (SELECT " + ", ".join(map(_low_high, _STUDY)) + " FROM e), f AS (SELECT order_id, line_number, product_id, "
-        + ", ".join(f"coalesce(CAST({c} AS DOUBLE) < lo_{c} OR CAST({c} AS DOUBLE) > hi_{c}, FALSE) AS {c}_outlier_iqr" for c in _STUDY)
+        + ", ".join(f"{_out(c)} AS {c}_outlier_iqr" for c in _STUDY)
         + " FROM e CROSS JOIN edges)",
         "SELECT *, " + " OR ".join(f"{c}_outlier_iqr" for c in _STUDY) + " AS any_outlier_iqr, concat_ws(', ', "
         + ", ".join(f"CASE WHEN {c}_outlier_iqr THEN '{c}' END" for c in _STUDY) + ") AS outlier_variables FROM f",
@@ -509,19 +515,19 @@ def outlier_flags(spark, sf):
     "outlier_price_history",
     lines_with(
         _FLAGGED,
-        "SELECT product_id, product_name, order_id, order_date, unit_price, catalog_price, price_difference, revenue, pu OR pr AS any_outlier_iqr "
-        "FROM f WHERE product_id IN (SELECT product_id FROM f WHERE pu OR pr)",
+        "SELECT product_id, product_name, order_id, order_date, unit_price, catalog_price, price_difference, quantity, revenue, any_outlier_iqr, "
+        "outlier_variables FROM f WHERE product_id IN (SELECT product_id FROM f WHERE any_outlier_iqr)",
     ),
 )
 def outlier_price_history(spark, sf):
     df = _flagged(spark, sf, "product_id", "product_name", "order_id", "order_date", "catalog_price", "price_difference")
-    return outliers.product_price_history(df).drop("outlier_variables")
+    return outliers.product_price_history(df)
 
 
 _SUMMARY = _FLAGGED + """,
-h AS (SELECT * FROM f WHERE product_id IN (SELECT product_id FROM f WHERE pu OR pr)),
+h AS (SELECT * FROM f WHERE product_id IN (SELECT product_id FROM f WHERE any_outlier_iqr)),
 s AS (SELECT product_id, product_name, category, brand, count(*) AS lineas_historicas, count(DISTINCT order_id) AS pedidos_distintos,
-    count(*) FILTER (pu OR pr) AS lineas_con_algun_outlier, count(*) FILTER (pu) AS lineas_outlier_precio,
+    count(*) FILTER (any_outlier_iqr) AS lineas_con_algun_outlier, count(*) FILTER (pu) AS lineas_outlier_precio,
     count(*) FILTER (pr) AS lineas_outlier_revenue, count(DISTINCT unit_price) AS precios_historicos_distintos,
     CAST(min(unit_price) AS DOUBLE) AS precio_minimo, CAST(max(unit_price) AS DOUBLE) AS precio_maximo,
     CAST(sum(unit_price) AS DOUBLE) / count(unit_price) AS pm, coalesce(stddev_samp(CAST(unit_price AS DOUBLE)), 0) AS ds,
@@ -573,7 +579,7 @@ def alert_counts(spark, sf):
     ),
 )
 def top_outlier_lines(spark, sf):
-    df = _flagged(spark, sf, *LINE_KEY, "quantity")
+    df = _flagged(spark, sf, *LINE_KEY, "quantity", "revenue", measures=("unit_price",))
     return outliers.top_outlier_lines(df, "unit_price").select(*LINE_KEY, "unit_price", "quantity", "revenue")
 
 
@@ -588,7 +594,7 @@ def top_outlier_lines(spark, sf):
     ),
 )
 def outlier_sensitivity(spark, sf):
-    df = _flagged(spark, sf, "quantity", "valid_sales_flag").filter("valid_sales_flag")
+    df = _flagged(spark, sf, "revenue", "valid_sales_flag", measures=("unit_price",)).filter("valid_sales_flag")
     out = outliers.outlier_sensitivity(df, "unit_price")
     return rounded(rounded(out, 4, "ticket_medio_linea"), 6, "cambio_revenue_vs_completo_pct", "participacion_outliers")
 

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from orderlens.fixed_values import ESTIMATION_LEVELS
+from orderlens.models import predictions
 from orderlens.operators import filters, scenarios
+from orderlens.session import shared_folder
 from orderlens.sources import star_tables as star
 from registry import lines_with, register, rounded
 
@@ -45,6 +49,25 @@ def _scenarios(spark, sf, *columns):
     return scenarios.build_retrospective_scenarios(star.master(spark, sf, *dict.fromkeys((*columns, *_NEEDED))))
 
 
+def _with_predictions(spark, sf, *columns):
+    """Scenarios with a version of predictions read back from its table.
+
+    The version holds the product means, which SQL repeats; the forest's own predictions are those of `quantity_predictions`.
+    """
+    df = star.master(spark, sf, *dict.fromkeys((*predictions.KEY, *columns, *_NEEDED)))
+    path = f"{shared_folder(spark)}/predictions-{uuid.uuid4().hex}"
+    predictions.write_predictions(predictions.mean_predictions(df), path, "product-mean")
+    return predictions.attach_predictions(scenarios.build_retrospective_scenarios(df), predictions.read_predictions(spark, path))
+
+
+_PREDICTED = _SCENARIOS + """,
+product_mean AS (SELECT product_id, CAST(sum(quantity) AS DOUBLE) / count(quantity) AS m FROM e WHERE quantity IS NOT NULL GROUP BY 1),
+all_mean AS (SELECT CAST(sum(quantity) AS DOUBLE) / count(quantity) AS m, max(quantity) AS top FROM e),
+predicted AS (SELECT sc.*, CASE WHEN quantity IS NULL THEN least(round_even(greatest(coalesce(p.m, a.m), 5), 0), a.top) ELSE quantity END AS quantity_rf
+    FROM sc LEFT JOIN product_mean p ON p.product_id = sc.product_id CROSS JOIN all_mean a),
+rf AS (SELECT *, CASE WHEN quantity IS NULL THEN CAST(CAST(unit_price AS DOUBLE) * quantity_rf AS DECIMAL(18,2)) ELSE revenue END AS revenue_rf FROM predicted)"""
+
+
 @register(
     "quantity_scenarios",
     lines_with(
@@ -96,15 +119,16 @@ def scenario_checks(spark, sf):
 @register(
     "scenario_comparison",
     lines_with(
-        _SCENARIOS + """,
-        t AS (SELECT CAST(sum(revenue) AS DOUBLE) AS o, CAST(sum(revenue_scenario_min) AS DOUBLE) AS a, CAST(sum(revenue_scenario_max) AS DOUBLE) AS b FROM sc),
+        _PREDICTED + """,
+        t AS (SELECT CAST(sum(revenue) AS DOUBLE) AS o, CAST(sum(revenue_scenario_min) AS DOUBLE) AS a, CAST(sum(revenue_scenario_max) AS DOUBLE) AS b,
+              CAST(sum(revenue_rf) AS DOUBLE) AS c FROM rf),
         u AS (SELECT 'Original conocido' AS scenario, o AS v, o FROM t UNION ALL SELECT 'Mínimo mayorista', a, o FROM t
-              UNION ALL SELECT 'Máximo jerárquico', b, o FROM t)""",
+              UNION ALL SELECT 'Random Forest experimental', c, o FROM t UNION ALL SELECT 'Máximo jerárquico', b, o FROM t)""",
         "SELECT scenario, v AS revenue_total, round(v - o, 2) AS difference_vs_original, round((v - o) / o * 100, 6) AS change_vs_original_pct FROM u",
     ),
 )
 def scenario_comparison(spark, sf):
-    out = scenarios.scenario_comparison(_scenarios(spark, sf))
+    out = scenarios.scenario_comparison(_with_predictions(spark, sf))
     return rounded(rounded(out, 2, "difference_vs_original"), 6, "change_vs_original_pct")
 
 
@@ -126,25 +150,24 @@ def affected_orders(spark, sf):
 _STACK = """,
 st AS (SELECT 'Original' AS scenario, year_month, revenue AS r, quantity AS q FROM sc
   UNION ALL SELECT 'Mínimo mayorista', year_month, revenue_scenario_min, quantity_scenario_min FROM sc
-  UNION ALL SELECT 'Random Forest', year_month, revenue, quantity FROM sc
+  UNION ALL SELECT 'Random Forest', year_month, revenue_rf, quantity_rf FROM rf
   UNION ALL SELECT 'Máximo jerárquico', year_month, revenue_scenario_max, quantity_scenario_max FROM sc)"""
 
 
 @register(
     "scenario_totals",
-    lines_with(_SCENARIOS + _STACK, "SELECT scenario, CAST(sum(r) AS DOUBLE) AS revenue, sum(q) AS quantity FROM st GROUP BY 1"),
+    lines_with(_PREDICTED + _STACK, "SELECT scenario, CAST(sum(r) AS DOUBLE) AS revenue, sum(q) AS quantity FROM st GROUP BY 1"),
 )
 def scenario_totals(spark, sf):
-    """Without predictions the forest scenario repeats the original."""
-    return scenarios.scenario_totals(_scenarios(spark, sf))
+    return scenarios.scenario_totals(_with_predictions(spark, sf))
 
 
 @register(
     "scenario_monthly",
-    lines_with(_SCENARIOS + _STACK, "SELECT scenario, year_month, CAST(sum(r) AS DOUBLE) AS revenue FROM st GROUP BY 1, 2"),
+    lines_with(_PREDICTED + _STACK, "SELECT scenario, year_month, CAST(sum(r) AS DOUBLE) AS revenue FROM st GROUP BY 1, 2"),
 )
 def scenario_monthly(spark, sf):
-    return scenarios.scenario_monthly(_scenarios(spark, sf, "year_month"))
+    return scenarios.scenario_monthly(_with_predictions(spark, sf, "year_month"))
 
 
 _BOARD = (
