@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -39,13 +39,44 @@ def selected(df: DataFrame, **dimensions: str | None) -> DataFrame:
     return reduce(lambda d, kv: d.filter(F.col(kv[0]).cast("string") == str(kv[1])), chosen.items(), df)
 
 
-def page(df: DataFrame, order: str, skip: int, limit: int) -> DataFrame:
-    """One page in key order with the total and the page count on every row."""
-    total = df.agg(F.count(F.lit(1)).alias("total"))
-    rows = df.orderBy(order).offset(skip).limit(limit)
-    count = rows.agg(F.count(F.lit(1)).alias("count"))
-    # both added frames have one row
-    return rows.crossJoin(total).crossJoin(count).withColumns({"skip": F.lit(skip), "limit": F.lit(limit)})
+PAGE_ROWS = 100_000  # rows that are sorted for a page, at most, unless they share one key
+PAGE_CUTS = 64
+
+
+def _holding(df: DataFrame, order: str, skip: int, limit: int, rows: int) -> tuple[DataFrame, int]:
+    """The rows of the key range that holds a page, and how many rows of the table come before that range.
+
+    Each round cuts the range at quantiles of a sketch, counts the rows up to each cut and goes on with the cuts around the
+    page: two scans and no shuffle, whatever the depth of the page.
+    """
+    key, part, before = F.col(order), df, 0
+    inside = part.agg(F.count(F.lit(1))).first()[0]
+    while inside > rows:
+        cuts = part.agg(F.percentile_approx(key, [i / PAGE_CUTS for i in range(1, PAGE_CUTS)], 10_000)).first()[0]
+        cuts = sorted(set(cuts or []))
+        counts = part.agg(F.count_if(key.isNull()).alias("nulls"), *[F.count_if(key <= F.lit(c)).alias(f"c{i}") for i, c in enumerate(cuts)]).first()
+        ends = [counts["nulls"] + counts[f"c{i}"] for i in range(len(cuts))]  # nulls come first
+        first = max((i for i, n in enumerate(ends) if n <= skip - before), default=None)
+        last = min((i for i, n in enumerate(ends) if n >= skip - before + limit), default=None)
+        size = (inside if last is None else ends[last]) - (0 if first is None else ends[first])
+        if size == inside:
+            break  # one key, or a page as wide as the range
+        if last is not None:
+            part = part.filter(key.isNull() | (key <= F.lit(cuts[last])))
+        if first is not None:
+            part, before = part.filter(key > F.lit(cuts[first])), before + ends[first]
+        inside = size
+    return part, before
+
+
+def page(df: DataFrame, order: str, skip: int, limit: int, ties: Sequence[str] = (), rows: int = PAGE_ROWS) -> DataFrame:
+    """One page in the order of a number or a date (rows that share it, of `ties`), with the total and the page's count on
+    every row. Only the key range that holds the page is sorted."""
+    total = df.agg(F.count(F.lit(1))).first()[0]
+    part, before = _holding(df, order, skip, limit, rows) if skip < total and limit > 0 else (df.limit(0), skip)
+    found = part.orderBy(order, *ties).offset(skip - before).limit(limit)
+    facts = {"total": total, "count": max(0, min(limit, total - skip))}
+    return found.withColumns({k: F.lit(v).cast("long") for k, v in facts.items()}).withColumns({"skip": F.lit(skip), "limit": F.lit(limit)})
 
 
 def by_id(df: DataFrame, key: str, value: int) -> DataFrame:

@@ -2,15 +2,42 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlens.operators.enrich import LINE_COLUMNS, PRODUCT_COLUMNS, USER_COLUMNS
-from orderlens.operators.shape import column_values
-from orderlens.session import materialize
 
 LISTED_VALUES = 12
+FEW_VALUES = 256  # estimated distinct values up to which a column's values are held as one set
+
+
+def _distinct_values(df: DataFrame) -> DataFrame:
+    """variable, nulos, filas, distintos and, for columns with few values, valores: one row for each column, exact.
+
+    One scan of sketches tells which columns have few values; these are listed in a second scan, in sets as small as the
+    sketches say. Of the others each is read on its own and its distinct values are counted after a partial count.
+    """
+    columns = df.columns
+    first = df.agg(
+        F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)],
+        *[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(columns)],
+    ).first()
+    counts = df.sparkSession.createDataFrame(
+        [(c, first["rows"] - first[f"n{i}"], first["rows"]) for i, c in enumerate(columns)], "variable string, nulos long, filas long"
+    )
+    few = [c for i, c in enumerate(columns) if first[f"d{i}"] <= FEW_VALUES]
+    out = []
+    if few:
+        sets = df.agg(*[F.array_sort(F.collect_set(F.col(c).cast("string"))).alias(f"s{i}") for i, c in enumerate(few)])
+        rows = [F.struct(F.lit(c).alias("variable"), F.size(f"s{i}").cast("long").alias("distintos"), F.col(f"s{i}").alias("valores")) for i, c in enumerate(few)]
+        out.append(sets.select(F.inline(F.array(*rows))))
+    for c in columns:
+        if c not in few:
+            out.append(df.agg(F.count_distinct(c).alias("distintos")).select(F.lit(c).alias("variable"), "distintos", F.lit(None).cast("array<string>").alias("valores")))
+    return counts.join(reduce(DataFrame.unionByName, out), "variable")
 
 
 def schema_report(df: DataFrame) -> DataFrame:
@@ -18,15 +45,10 @@ def schema_report(df: DataFrame) -> DataFrame:
     types = df.sparkSession.createDataFrame(
         [(f.name, f.dataType.simpleString()) for f in df.schema.fields], "variable string, tipo string"
     )
-    counted = column_values(df, df.columns).groupBy("variable").agg(
-        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("rows"))), F.lit(0)).alias("nulos"),
-        F.sum("rows").alias("_rows"),
-        F.count("value").alias("valores_unicos"),
-    )
-    return F.broadcast(types).join(counted, "variable").select(  # one row per column
+    return types.join(_distinct_values(df), "variable").select(  # one row per column
         "variable", "tipo", "nulos",
-        F.round(F.col("nulos") * 100.0 / F.col("_rows"), 2).cast("double").alias("porcentaje_nulos"),
-        "valores_unicos",
+        F.round(F.col("nulos") * 100.0 / F.col("filas"), 2).cast("double").alias("porcentaje_nulos"),
+        F.col("distintos").alias("valores_unicos"),
     )
 
 
@@ -45,16 +67,7 @@ def data_dictionary(df: DataFrame, listed: int = LISTED_VALUES) -> DataFrame:
         [(f.name, _source(f.name), f.dataType.simpleString()) for f in df.schema.fields],
         "variable string, fuente string, tipo string",
     )
-    values = materialize(column_values(df, df.columns))  # read for the counts and for the lists
-    counted = values.groupBy("variable").agg(
-        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("rows"))), F.lit(0)).alias("nulos"),
-        F.count("value").alias("distintos"),
-    )
-    # the lists are bounded: only variables with at most `listed` values are collected
-    few = F.broadcast(counted.filter(F.col("distintos") <= listed).select("variable"))
-    lists = values.join(few, "variable", "left_semi").groupBy("variable").agg(
-        F.array_join(F.array_sort(F.collect_list("value")), ", ").alias("_list")
-    )
+    counted = _distinct_values(df)
     ranges = df.agg(
         *[F.min(F.col(c).cast("double")).alias(f"lo_{c}") for c in numeric],
         *[F.max(F.col(c).cast("double")).alias(f"hi_{c}") for c in numeric],
@@ -74,7 +87,7 @@ def data_dictionary(df: DataFrame, listed: int = LISTED_VALUES) -> DataFrame:
         spans = df.sparkSession.createDataFrame([], "variable string, minimo double, maximo double")
     text = (
         F.when(F.col("distintos") == 0, "Sin valores")
-        .when(F.col("distintos") <= listed, F.col("_list"))
+        .when(F.col("distintos") <= listed, F.array_join("valores", ", "))
         .when(
             F.col("minimo").isNotNull(),
             F.concat(
@@ -86,7 +99,6 @@ def data_dictionary(df: DataFrame, listed: int = LISTED_VALUES) -> DataFrame:
     # every frame below has one row per column
     return (
         facts.join(counted, "variable")
-        .join(lists, "variable", "left")
         .join(spans, "variable", "left")
         .select("variable", "fuente", "tipo", "nulos", "distintos", text.alias("valores"))
     )

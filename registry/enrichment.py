@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from orderlens.fixed_values import QUALITY_RULES
+from orderlens.functions import numbers
 from orderlens.operators import enrich, filters, integrity, profile, quality
 from orderlens.session import shared_folder
 from orderlens.sources import files, pages
@@ -465,6 +466,49 @@ def page_of_orders(spark, sf):
     return filters.page(orders, "order_id", 100, 37)
 
 
+@register(
+    "deep_page_of_lines",
+    "WITH r AS (SELECT l_orderkey AS order_id, l_linenumber AS line_number, l_partkey AS product_id, row_number() OVER (ORDER BY l_orderkey, "
+    "l_linenumber, l_partkey) AS place, count(*) OVER () AS total FROM lineitem) SELECT order_id, line_number, product_id, total, 50 AS count, "
+    "CAST(total // 10 * 9 AS INTEGER) AS skip, 50 AS \"limit\" FROM r WHERE place > total // 10 * 9 AND place <= total // 10 * 9 + 50",
+)
+def deep_page_of_lines(spark, sf):
+    """A page behind nine tenths of all lines; only the key range that holds it is sorted."""
+    rows = star.table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_number"), F.col("l_partkey").alias("product_id")
+    )
+    return filters.page(rows, "order_id", rows.count() // 10 * 9, 50, ties=("line_number", "product_id"), rows=1_000)
+
+
+@register(
+    "lenient_values",
+    "WITH t AS (SELECT l_orderkey AS order_id, l_linenumber AS line_number, l_partkey AS product_id, CASE WHEN l_orderkey % 5 = 0 THEN 'n/a' WHEN "
+    "l_orderkey % 7 = 0 THEN '' WHEN l_orderkey % 11 = 0 THEN NULL ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS quantity, CASE WHEN l_partkey "
+    "% 3 = 0 THEN 'pronto' WHEN l_partkey % 4 = 0 THEN '2024-02-30' ELSE strftime(l_shipdate, '%Y-%m-%d') END AS day FROM lineitem) "
+    "SELECT order_id, line_number, product_id, TRY_CAST(quantity AS DOUBLE) AS quantity, TRY_CAST(day AS DATE) AS day FROM t",
+)
+def lenient_values(spark, sf):
+    """Landed text that is no number or no day becomes null, the rest is read."""
+    key = F.col("l_orderkey")
+    quantity = F.when(key % 5 == 0, "n/a").when(key % 7 == 0, "").when(key % 11 == 0, F.lit(None)).otherwise(F.col("l_quantity").cast("int").cast("string"))
+    day = F.when(F.col("l_partkey") % 3 == 0, "pronto").when(F.col("l_partkey") % 4 == 0, "2024-02-30").otherwise(F.date_format("l_shipdate", "yyyy-MM-dd"))
+    return star.table(spark, sf, "lineitem").select(
+        key.alias("order_id"), F.col("l_linenumber").alias("line_number"), F.col("l_partkey").alias("product_id"),
+        numbers.to_number(quantity).alias("quantity"), numbers.to_day(day).alias("day"),
+    )
+
+
+@register("report_file", lines("SELECT country, channel, count(*) AS lineas, CAST(sum(revenue) AS DOUBLE) AS revenue FROM e GROUP BY 1, 2"))
+def report_file(spark, sf):
+    """A report of one row a country and channel, written as one CSV file and read back."""
+    report = star.enriched(spark, sf, "country", "channel", "revenue").groupBy("country", "channel").agg(
+        F.count(F.lit(1)).alias("lineas"), F.sum("revenue").cast("double").alias("revenue")
+    )
+    path = f"{shared_folder(spark)}/report-{uuid.uuid4().hex}"
+    files.write_report(report, path)
+    return files.read_csv(spark, path, report.schema)
+
+
 @register("order_lookup", "SELECT o_orderkey AS order_id, o_totalprice AS value FROM orders WHERE o_orderkey = 48")
 def order_lookup(spark, sf):
     orders = star.table(spark, sf, "orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_totalprice").alias("value"))

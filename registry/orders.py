@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from orderlens.operators import inference, order_level, rankings
 from orderlens.operators.integrity import LINE_KEY
+from orderlens.session import shared_folder
+from orderlens.sources import files
 from orderlens.sources import star_tables as star
 from registry import lines, lines_with, register, rounded
 
@@ -41,6 +45,14 @@ def order_level_table(spark, sf):
     return _orders(spark, sf)
 
 
+@register("order_level_from_table", lines_with(_ORDERS, "SELECT * FROM o"))
+def order_level_from_table(spark, sf):
+    """From the SQL table, which is laid out by order: no exchange between its scan and the result."""
+    name = f"lines_{uuid.uuid4().hex}"
+    files.write_table(star.enriched(spark, sf, *_LEVEL_COLUMNS), name, f"{shared_folder(spark)}/{name}", buckets=16)
+    return order_level.order_level(spark.table(name))
+
+
 _RATE = "count(order_id) AS pedidos, CAST(sum(cancelled_flag) AS BIGINT) AS cancelados, round(avg(cancelled_flag), 6) AS tasa_cancelacion, round(avg(cancelled_flag) * 100, 4) AS tasa_cancelacion_pct"
 
 

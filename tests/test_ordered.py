@@ -149,3 +149,18 @@ def test_running_totals_of_few_rows_nulls_and_none(spark):
     assert totals([(1, None), (2, None)]) == [(1, 1), (2, 3)]
     assert totals([(1, 5.0)]) == [(1, 1)]
     assert totals([]) == []
+
+
+@pytest.mark.parametrize("skip", [0, 3, 495, 990, 1496, 1500, 2000])
+def test_pages_of_any_depth(spark, skip):
+    """Keys repeat, some are null, one holds a third of all rows; the page is that of a full sort."""
+    from orderlens.operators import filters
+
+    rows = [(None if i % 50 == 0 else 7 if i % 3 == 0 else i * 31 % 997, i) for i in range(1500)]
+    df = spark.createDataFrame(rows, "k long, t int").repartition(5)
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))[skip : skip + 20]
+    got = filters.page(df, "k", skip, 20, ties=["t"], rows=40)
+    found = got.collect()
+    assert [(r["k"], r["t"]) for r in found] == want and all((r["total"], r["count"]) == (1500, len(want)) for r in found)
+    part, before = filters._holding(df, "k", 1400, 20, 40)
+    assert part.count() <= 200 and before > 1200

@@ -103,3 +103,23 @@ def test_repeated_key_stops_the_sinks(spark, tmp_path, enriched):
 def test_bucketed_table(spark, enriched):
     files.write_table(enriched, "orders_bucketed", buckets=4)
     assert spark.table("orders_bucketed").count() == 3
+
+
+def test_lines_of_a_bucketed_table_are_not_shuffled(spark, tmp_path, enriched):
+    from orderlens.operators import integrity, order_level
+
+    files.write_table(enriched, "bucketed_lines", str(tmp_path / "bucketed"), buckets=4)
+    table = spark.table("bucketed_lines")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan(order_level.order_level(table))
+    assert "Exchange" not in plan(integrity.order_product_pairs(table)) and "Exchange" in plan(order_level.order_level(enriched))
+    assert order_level.order_level(table).count() == enriched.select("order_id").distinct().count()
+
+
+def test_landed_counts(spark, tmp_path):
+    path = write_pages(tmp_path / "users", "users", [{"id": i} for i in range(9)], 4)
+    landed = pages.read_pages(spark, str(path), "users")
+    row = pages.landed_counts(users=landed.filter("skip <> 4")).first()
+    assert (row["records"], row["declared"], row["agrees"]) == (5, 9, False)
+    row = pages.landed_counts(users=landed.limit(0)).first()
+    assert (row["records"], row["declared"], row["agrees"]) == (0, None, False)
