@@ -15,7 +15,8 @@ import xxhash
 from pyspark.sql import functions as F
 
 from orderlens.llm import (
-    components, decontamination, language, licenses, mixing, parse, quality, recompression, sharding, simhash, url_lists, warc, words,
+    bits, collocations, components, decontamination, divergence, jaccard_join, language, licenses, mixing, parse, pointers, quality,
+    recompression, sharding, simhash, url_lists, warc, words,
 )
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, shard int, name string, bits long, root long, copy long"
@@ -372,3 +373,173 @@ def test_recall_of_hash_order():
         _, _, sketches = decontamination.sketch([" ".join(f"w{i}" for i in range(n + 4))])
         kept = sum(len(s.hashes) for s in sketches)
         assert kept > n - np.ceil(round(0.8 * n, 9))
+
+
+def linked(texts: list[str | None], ids: list[int | None], percent: int = 85) -> Counter:
+    """Set size and least reachable id of every row, by all pairs."""
+    def shingles(text: str | None) -> frozenset:
+        found = WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+        return frozenset(tuple(found[i : i + 4]) for i in range(max(1, len(found) - 3))) if found else frozenset()
+
+    sets, group = [shingles(t) for t in texts], list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if group[i] != group[j] and sets[i] and sets[j]:
+                shared = len(sets[i] & sets[j])
+                if 100 * shared >= percent * (len(sets[i]) + len(sets[j]) - shared):
+                    group = [group[j] if g == group[i] else g for g in group]
+    least = {}
+    for i, g in zip(ids, group, strict=True):
+        if i is not None:
+            least[g] = min(least.get(g, i), i)
+    return Counter((i, len(s), least.get(g)) for i, s, g in zip(ids, sets, group, strict=True))
+
+
+def joined(df) -> Counter:
+    return Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in df.collect())
+
+
+def test_jaccard_join_against_all_pairs(docs, empty):
+    table = rows()
+    assert joined(jaccard_join.jaccard_join(docs)) == linked([r[1] for r in table], [r[0] for r in table])
+    assert jaccard_join.jaccard_join(empty).count() == 0
+    with pytest.raises(ValueError):
+        jaccard_join.jaccard_join(docs, percent=0)
+
+
+@pytest.mark.parametrize("percent", [85, 60])
+def test_jaccard_join_of_changed_texts(spark, percent):
+    """Families around the similarity, some large, beside a passage that half of all texts hold."""
+    draw, table = random.Random(percent), []
+    passage = prose(77, 60).split()
+    for family in range(14):
+        first = prose(3000 + family, draw.randrange(4, 260)).split()
+        texts = [first]
+        for _ in range(3 if family else 90):
+            words_ = list(draw.choice(texts) if family % 2 else first)
+            for at in draw.sample(range(len(words_)), max(1, int(len(words_) * draw.choice([0.004, 0.01, 0.02, 0.04])))):
+                words_[at] = f"q{draw.randrange(10**6)}"
+            texts.append(words_[: len(words_) - draw.randrange(3)])
+        table += [" ".join(t) for t in texts]
+    table += [" ".join(prose(9000 + i, draw.randrange(10, 90)).split() + passage) for i in range(120)]
+    table += ["a b c", "A b  c", "a b c d", "b a c", "", None]
+    draw.shuffle(table)
+    got = joined(jaccard_join.jaccard_join(spark.createDataFrame(list(enumerate(table)), "doc_id long, text string").repartition(3), percent=percent))
+    want = linked(table, list(range(len(table))), percent)
+    assert got == want and len({c for _, _, c in want}) < len(table) - 60
+
+
+def test_jaccard_signatures_meet():
+    """Sets that reach the similarity share a signature, whatever the classes of their tokens."""
+    draw = np.random.default_rng(12)
+    sizes = jaccard_join.Sizes(85)
+    met = 0
+    for _ in range(300):
+        n = int(draw.integers(1, 300))
+        tokens = np.unique(draw.integers(0, 1 << 63, 2 * n + 20).astype(np.uint64))
+        a = np.sort(draw.permutation(tokens)[:n])
+        change = int(draw.integers(0, max(1, n // 10) + 1))
+        b = np.unique(np.concatenate([draw.permutation(a)[: n - change], draw.permutation(tokens)[: int(draw.integers(0, change + 1))]]))
+        shared = len(np.intersect1d(a, b))
+        if not len(b) or 100 * shared < 85 * (len(a) + len(b) - shared):
+            continue
+        met += 1
+        both = np.intersect1d(a, b)
+        rank = {int(t): int(draw.integers(1, 4)) for t in both}  # a token of both sets is in two sets at least
+        ranks = [np.array([rank.get(int(t), int(t % np.uint64(4))) for t in s]) for s in (a, b)]
+        found = [{int(x) for x in jaccard_join.signatures(s, r, sizes)} for s, r in zip((a, b), ranks, strict=True)]
+        assert found[0] & found[1], (len(a), len(b), shared)
+    assert met > 100
+
+
+def test_sorted_runs_and_equal_words():
+    texts = [prose(21, 400, 30), "abcdefgh abcdefghi abcdefgh ABCDEFGH abcdefghabcdefgh abcdefghabcdefgi é éa", "", "z" * 5000 + " " + "z" * 5000 + "a"]
+    (_, data, offsets), = words.pieces(pa.array(texts))
+    w = words.split(data, offsets)
+    slices = pointers.Slices(data)
+    order, head = pointers.sorted_runs(slices, w.start, w.end)
+    found = [data[s:e].tobytes() for s, e in zip(w.start, w.end, strict=True)]
+    assert [found[i] for i in order] == sorted(found) and len(head) == len(set(found))
+    assert pointers.texts_at(data, w.start[order[head]], w.end[order[head]]).to_pylist() == [x.decode() for x in sorted(set(found))]
+    a, b = np.arange(len(found) - 1), np.arange(1, len(found))
+    assert pointers.equal_words(slices, w.start, w.end, a, b).tolist() == [x == y for x, y in zip(found, found[1:], strict=False)]
+
+
+def diverged(table: list[tuple], kept_in: int = 3, first: int = 200) -> set:
+    """The definition of operator 12 in Python integers; rows are (lang, source, text)."""
+    found = [(lang or "", source or "", re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))) for lang, source, text in table]
+    out = set()
+    for lang in {r[0] for r in found}:
+        mine = [(s, t) for x, s, t in found if x == lang]
+        held = Counter(t for _, ts in mine for t in set(ts))
+        kept = [t for t, n in held.items() if n >= kept_in]
+        counts = {s: Counter() for s, _ in mine}
+        for s, ts in mine:
+            counts[s].update(t for t in ts if held[t] >= kept_in)
+        share = lambda c: {t: 1 + 10**9 * (c[t] + 1) // (sum(c.values()) + len(kept)) for t in kept}
+        shares, whole = {s: share(c) for s, c in counts.items()}, share(sum(counts.values(), Counter()))
+        for s, p in shares.items():
+            pairs = sorted((-sum((p[t] - q[t]) ** 2 // q[t] for t in kept), o.encode(), o) for o, q in shares.items() if o != s)
+            terms = sorted((-((p[t] - whole[t]) ** 2 // whole[t]), t.encode(), t) for t in kept if counts[s][t] and p[t] > whole[t])
+            for part, items in (("pair", pairs), ("term", terms[:first])):
+                out |= {(lang, s, part, item, -value, rank) for rank, (value, _, item) in enumerate(items, 1)}
+    return out
+
+
+def test_divergence_against_python(spark, docs, empty):
+    read = lambda df: {tuple(r[c] for c in ("lang", "source", "part", "item", "value", "rank")) for r in df.collect()}
+    table = [(r[2], r[3], r[1]) for r in rows()]
+    assert read(divergence.source_divergence(docs)) == diverged(table)
+    draw = random.Random(4)
+    more = [(draw.choice(["en", "de", None]), draw.choice(["a", "b", "ü", None, "A"]), prose(draw.randrange(30), draw.randrange(0, 90), 40).replace("a", draw.choice(["É", "a", "Q"]))) for _ in range(150)]
+    more += [("xx", "a", "one"), ("xx", "b", None), ("yy", "a", "1 2 3")] + [("zz", "a", "same")] * 3
+    got = read(divergence.source_divergence(spark.createDataFrame(more, "lang string, source string, text string").repartition(4), terms=7))
+    assert got == diverged(more, first=7) and ("xx", "a", "pair", "b", 0, 1) in got and any(r[2] == "term" for r in got)
+    assert divergence.source_divergence(empty).count() == 0
+
+
+def phrases(table: list[tuple], count: int, first: int = 2000) -> list[tuple]:
+    """The definition of operator 13 in plain Python; rows are (lang, text)."""
+    found: dict[str, Counter] = {}
+    totals: Counter = Counter()
+    for lang, text in table:
+        lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        grams = found.setdefault(lang if lang is not None else "und", Counter())
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower):
+            ws = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang if lang is not None else "und"] += len(ws)
+            for n in range(1, 6):
+                grams.update(tuple(ws[i : i + n]) for i in range(len(ws) - n + 1))
+    out = []
+    for lang, grams in found.items():
+        often = {g: a for g, a in grams.items() if a >= count}
+        covered = {g[i:j] for g, a in often.items() for i in range(len(g)) for j in range(i + 1, len(g) + 1) if j - i < len(g) and a >= grams[g[i:j]]}
+        scored = []
+        for g, a in often.items():
+            if len(g) > 1 and g not in covered:
+                score, k = min((1000 * a * totals[lang] // (grams[g[:k]] * grams[g[k:]]), k) for k in range(1, len(g)))
+                scored.append((-score, -a, " ".join(g).encode(), (" ".join(g), a, grams[g[:k]], grams[g[k:]], totals[lang], score)))
+        out += [(lang, rank, *row) for rank, (*_, row) in enumerate(sorted(scored)[:first], 1)]
+    return sorted(out)
+
+
+def test_collocations_against_python(spark, docs, empty):
+    read = lambda df: sorted(tuple(r[c] for c in ("lang", "rank", "phrase", "a", "l", "r", "n", "score")) for r in df.collect())
+    table = [(r[2], r[1]) for r in rows()]
+    want = phrases(table, 5)
+    assert read(collocations.collocations(docs, count=5)) == want and want
+    draw = random.Random(8)
+    word = lambda: draw.choice(["of", "the", "The", "new", "york", "é", "city\t", "a.b", "x,", "hall!", "\n", "to", "be"])
+    more = [(draw.choice(["en", "de", None, "und"]), " ".join(word() for _ in range(draw.randrange(0, 120)))) for _ in range(200)]
+    more += [("en", "z " * 3000), ("en", None), ("de", ""), ("fr", ". , ;")] + [more[0]] * 5
+    frame = spark.createDataFrame(more, "lang string, text string").repartition(4)
+    assert read(collocations.collocations(frame, count=20, first=25)) == phrases(more, 20, 25)
+    assert collocations.collocations(empty).count() == 0
+
+
+def test_bit_tables(spark):
+    values = np.random.default_rng(3).integers(-(1 << 63), 1 << 63, 5000)
+    frame = spark.createDataFrame([(int(v), i) for i, v in enumerate(values)], "h long, i long")
+    even, none = bits.tables(frame, "h", [F.col("i") % 2 == 0, F.col("i") < 0], bits=18).value
+    assert bits.test(even, values[::2]).all() and bits.test(even, values[1::2]).mean() < 0.05 and not bits.test(none, values).any()
+    assert not bits.test(bits.tables(frame.limit(0), "h", [F.col("h").isNotNull()]).value[0], values).any()
