@@ -19,8 +19,8 @@ LEAST_COUNT = 2  # occurrences in the fit that make a word or n-gram known
 ORDERS = (5, 4, 3, 2, 1)
 SMOOTHING = 0.1
 
-# between words: ASCII bytes that are no letters; bytes of other characters belong to words
-SEPARATOR = np.array([b < 128 and not chr(b).isalpha() for b in range(256)])
+# what is no letter and no mark of one separates words, in the fit and in the prediction alike
+SEPARATOR = r"[^\p{L}\p{M}]+"
 _MEMORY = 200_000  # scores of unseen words that a task keeps
 
 
@@ -42,13 +42,14 @@ def fit_rows(docs: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
     return usable.filter(draw < share).select("lang", "text")
 
 
-def _units(text: str) -> Counter:
-    return Counter("".join(c if c.isalpha() else " " for c in text.lower()).split())
+def lowered(texts: pa.Array) -> pa.Array:
+    """Texts in lower case with a space for everything between words; null counts as empty."""
+    return pc.replace_substring_regex(pc.utf8_lower(pc.fill_null(texts, "")), SEPARATOR, " ")
 
 
-def _grams(word: str, n: int) -> list[str]:
+def _grams(word: str, n: int) -> Iterator[str]:
     padded = f"<{word}>"
-    return [padded[i : i + n] for i in range(len(padded) - n + 1)]
+    return (padded[i : i + n] for i in range(len(padded) - n + 1))
 
 
 @dataclass
@@ -72,6 +73,8 @@ class Model:
 
 def _logs(counts: np.ndarray) -> np.ndarray:
     """Smoothed log frequencies by language, as far from the languages' mean."""
+    if not len(counts):
+        return counts.astype(np.float32)
     logs = np.log(counts + SMOOTHING) - np.log(counts.sum(axis=0) + SMOOTHING * len(counts))
     return (logs - logs.mean(axis=1, keepdims=True)).astype(np.float32)
 
@@ -82,8 +85,8 @@ def fit(docs: DataFrame, rows: int = FIT_ROWS) -> Model:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             totals: dict[str, Counter] = {}
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                totals.setdefault(lang, Counter()).update(_units(text))
+            for lang, text in zip(batch.column("lang").to_pylist(), lowered(batch.column("text")).to_pylist(), strict=True):
+                totals.setdefault(lang, Counter()).update(text.split())
             out = []
             for lang, units in totals.items():
                 grams: Counter = Counter()
@@ -113,7 +116,7 @@ def fit(docs: DataFrame, rows: int = FIT_ROWS) -> Model:
         return coded.dictionary, total
 
     names, total = matrix(kind == 0)
-    hashes = np.concatenate([w.split(d, o, SEPARATOR).hashes() for _, d, o in w.pieces(names)])
+    hashes = np.concatenate([np.zeros(0, np.uint64), *(w.split(d, o).hashes() for _, d, o in w.pieces(names))])
     order = np.argsort(hashes)
     logs = _logs(total)[order]
     by_order = [matrix(kind == n) for n in ORDERS]
@@ -127,7 +130,7 @@ def identify(docs: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
     A known word adds its log frequency in each language; an unseen one the mean of its known n-grams of the longest
     order that has any, from 5 letters (word ends marked) down to 1. The language with the largest sum wins, the first
     in code-point order on ties; the score is its share of the exponentials of the means per word. `und` with score 0 if
-    the text is null, has no letter, or nothing was learned. lang is read by the fit alone, which leaves out every
+    the text is null, has no letter, or no word was learned. Words are runs of letters and their marks of any script. lang is read by the fit alone, which leaves out every
     document whose crc32(doc_id) mod 4 is 2. Rows with a null id are fitted on, not held out. Repeated rows are
     predicted alike; further columns are ignored; an empty table gives no rows.
     """
@@ -138,11 +141,11 @@ def identify(docs: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
         n_languages = len(m.languages)
         memory: dict[bytes, np.ndarray] = {}
         for batch in batches:
-            lowered = pc.utf8_lower(pc.fill_null(batch.column("text"), ""))
-            for first, data, offsets in w.pieces(lowered):
-                words = w.split(data, offsets, SEPARATOR)
+            texts = lowered(batch.column("text"))
+            for first, data, offsets in w.pieces(texts):
+                words = w.split(data, offsets)
                 count = words.counts()
-                if n_languages and len(words.start):
+                if len(m.words) and len(words.start):
                     hashes = words.hashes()
                     unique, back = np.unique(hashes, return_inverse=True)
                     place = np.minimum(np.searchsorted(m.words, unique), len(m.words) - 1)
@@ -166,8 +169,8 @@ def identify(docs: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
                     score = 1 / power.sum(axis=1)
                 else:
                     best, score = np.zeros(len(count), np.int64), np.zeros(len(count))
-                texts = lowered.slice(first, len(count)).to_pylist()
-                letters = [c > 0 and n_languages > 0 and any(x.isalpha() for x in t) for t, c in zip(texts, count.tolist(), strict=True)]
+                found = zip(texts.slice(first, len(count)).to_pylist(), count.tolist(), strict=True)
+                letters = [c > 0 and len(m.words) > 0 and any(x.isalpha() for x in t) for t, c in found]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(first, len(count)), batch.column("held_out").slice(first, len(count)),
