@@ -25,8 +25,23 @@ TEMPLATES = {
     "gpl-program": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
     "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "apache-2.0": "Licensed under the Apache License, Version 2.0",
+    "cc-by-4.0": "Licensed under CC BY 4.0",
     "cc-by-nc": "Licensed under CC BY-NC 4.0",
     "cc-by-sa": "Licensed under CC BY-SA 4.0",
+    "cc-by-nd": "Licensed under CC BY-ND 4.0",
+    "cc-by-nc-sa": "Licensed under CC BY-NC-SA 4.0",
+    "cc-by-nc-nd": "Licensed under CC BY-NC-ND 4.0",
+    "cc-by-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License",
+    "cc-by-sa-notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+    "cc-by-nc-notice": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
+    "cc-by-nc-sa-notice": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License",
+    "lgpl-notice": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+    "Public License as published by the Free Software Foundation",
+    "agpl-notice": "it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+    "apache-2.0-notice": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance "
+    "with the License. You may obtain a copy of the License at",
+    "unlicense": "This is free and unencumbered software released into the public domain",
+    "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
     "mit-notice": "Released under the MIT License.",
     "mit-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
     "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to "
@@ -57,7 +72,7 @@ class Automaton:
     step: list[dict[int, int]] = field(default_factory=lambda: [{}])
     link: list[int] = field(default_factory=lambda: [-1])
     length: list[int] = field(default_factory=lambda: [0])
-    ends: list[dict[int, int]] = field(default_factory=lambda: [{}])  # template: where the state's runs first end in it
+    ends: list[dict[int, list[int]]] = field(default_factory=lambda: [{}])  # template: where the state's runs end in it
 
     def _state(self, length: int, step: dict[int, int], link: int) -> int:
         self.step.append(step)
@@ -95,12 +110,12 @@ class Automaton:
             last = self._extend(last, token)
 
     def locate(self, template: int, tokens: list[int]) -> None:
-        """Note for each state where its runs first end in the template; all templates must have been added."""
+        """Note for each state where its runs end in the template; all templates must have been added."""
         state = 0
         for i, token in enumerate(tokens):
             p = state = self.step[state][token]
-            while p > 0 and template not in self.ends[p]:
-                self.ends[p][template] = i + 1
+            while p > 0:
+                self.ends[p].setdefault(template, []).append(i + 1)
                 p = self.link[p]
 
     def statistics(self, tokens: list[int]) -> Iterator[tuple[int, int]]:
@@ -144,20 +159,24 @@ class Scanner:
         places, matches = [], {}
         sizes, ends, length_of, link = self.sizes, self.automaton.ends, self.automaton.length, self.automaton.link
         for first, tokens in runs:
-            held = None
+            held: dict[int, tuple[int, int]] = {}  # template: the longest run that ends at the last token, and its state
             for i, (state, length) in enumerate([*self.automaton.statistics(tokens), (0, 0)]):
-                if held and length <= held[1]:  # the run cannot be longer: it ends before this token
-                    for t, end in ends[held[0]].items():
-                        matches.setdefault(t, []).append((first + i - held[1], first + i, end))
-                held = (state, length) if length >= LONG else None
+                now: dict[int, tuple[int, int]] = {}
                 p = state
-                while p > 0:  # phrases among the suffixes of the run that ends here
+                while p > 0:  # runs of the state, then the shorter ones that further templates hold
                     reach = min(length, length_of[p])
-                    for t, end in ends[p].items():
-                        if t < self.n_phrases and end == sizes[t] and length_of[link[p]] < sizes[t] <= reach:
+                    for t, found in ends[p].items():
+                        if t >= self.n_phrases:
+                            if reach >= LONG:
+                                now.setdefault(t, (reach, p))
+                        elif length_of[link[p]] < sizes[t] <= reach and sizes[t] in found:
                             places.append((first + i + 1 - sizes[t], t))
                     p = link[p]
-        return places, {t: m for t, m in matches.items() if t >= self.n_phrases}
+                for t, (reach, p) in held.items():
+                    if now.get(t, (0, 0))[0] <= reach:  # the template's run cannot be longer: it ends before this token
+                        matches.setdefault(t, []).extend((first + i - reach, first + i, end) for end in ends[p][t])
+                held = now
+        return places, matches
 
     def best(self, matches: list[tuple[int, int, int]], size: int) -> tuple[float, int, int]:
         """Share of the template that the best chain covers, and the chain's first and last word.
@@ -192,7 +211,8 @@ def scan_licenses(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates:
 
     Tokens are runs of 0-9, a-z and non-ASCII characters once A-Z are lower case. A place of a phrase is where its tokens
     stand consecutively; places may overlap. spans lists (label, first_word, last_word, covered) of every template whose
-    best chain of long matches covers enough of it; their labels join those of the phrases. The score is the largest
+    best chain of long matches covers enough of it, unless another one covers more tokens, or as many and a larger share, over some of the same words;
+    their labels join those of the phrases. The score is the largest
     covered share of a template, 1 for a document with a phrase only. A null or empty text has no words and labels ''.
     Repeated rows are scanned alike; further columns are ignored; an empty table gives no rows.
     """
@@ -207,9 +227,14 @@ def scan_licenses(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates:
         for t, found in sorted(matches.items()):
             covered, first, last = scan.best(found, scan.sizes[t])
             if covered >= COVERED:
-                spans.append({"label": scan.labels[t], "first_word": first, "last_word": last, "covered": covered})
+                spans.append({"label": scan.labels[t], "first_word": first, "last_word": last, "covered": covered, "most": (round(covered * scan.sizes[t]), covered)})
             if not base:
                 score = max(score, covered)
+        # of notices over the same words the one with most tokens stands, then the one with the largest share
+        spans = [
+            {k: v for k, v in s.items() if k != "most"} for s in spans
+            if not any(o["most"] > s["most"] and o["first_word"] <= s["last_word"] and s["first_word"] <= o["last_word"] for o in spans)
+        ]
         starts = [s for s, _ in places]
         labels = base | {s["label"] for s in spans}
         return len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), score, spans
