@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm import parse
+from orderlens.llm import bits, parse
 from orderlens.llm import words as w
 from orderlens.session import stored
 
@@ -60,11 +60,10 @@ def anchored_spans(texts: DataFrame, window: int = WINDOW, rounds: int = parse.R
 
 
 def _window_hashes(wanted: DataFrame, window: int) -> DataFrame:
-    """The windows of the wanted spans: rows of texts, each with its list of (name, span, low, count) or null."""
+    """The windows of the wanted spans: rows of texts, each with its list of (name, span, low, count)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = batch.filter(batch.column("wanted").is_valid())
+        for keep in batches:
             lists = keep.column("wanted")
             sizes = lists.value_lengths().to_numpy(zero_copy_only=False) if len(keep) else np.zeros(0, np.int64)
             ends = np.cumsum(sizes)
@@ -109,7 +108,14 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         contents.join(several, "name", "left_semi").groupBy("doc_id", "copy")
         .agg(F.collect_list(F.struct("name", "span", "low", "count")).alias("wanted"))  # at most the text's own spans
     )
-    windows = stored(_window_hashes(texts.join(wanted, ["doc_id", "copy"], "left"), window))
+    wanted = stored(wanted)
+    marks = bits.tables(wanted, "copy", [F.col("copy").isNotNull()])
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:  # only texts that may be asked for are shuffled
+        for batch in batches:
+            yield batch.filter(pa.array(bits.test(marks.value[0], batch.column("copy").to_numpy())))
+
+    windows = stored(_window_hashes(texts.mapInArrow(asked, texts.schema).join(wanted, ["doc_id", "copy"]), window))
     earliest = stored(windows.groupBy("name", "content").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b"))
     steps = (
         windows.join(earliest, ["name", "content"]).filter("doc_id > a")
