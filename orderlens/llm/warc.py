@@ -20,6 +20,7 @@ CHUNK = 1 << 20
 DATE = "1970-01-01T00:00:00Z"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "
 END = "\r\n\r\n"
+INDEX = "archive string, offset long, length long, record_bytes long, record_id string"
 
 
 def _octets(text: Column) -> Column:
@@ -164,10 +165,19 @@ def normalise_archives(spark: SparkSession, folder: str, target: str) -> DataFra
 
     fs, path = _open(target)
     fs.create_dir(path, recursive=True)
-    schema = "archive string, offset long, length long, record_bytes long, record_id string"
     if not paths:
-        return spark.createDataFrame([], schema)
-    return spark.createDataFrame([(p,) for p in paths], "path string").repartition(len(paths), "path").mapInArrow(run, schema)
+        return spark.createDataFrame([], INDEX)
+    return spark.createDataFrame([(p,) for p in paths], "path string").coalesce(1).repartition(len(paths)).mapInArrow(run, INDEX)
+
+
+def read_index(spark: SparkSession, folder: str) -> DataFrame:
+    """archive, offset, length, record_bytes, record_id: the sidecar indexes of a folder's archives."""
+    if spark.read.format("binaryFile").option("pathGlobFilter", "*.idx").load(folder).select("path").isEmpty():
+        return spark.createDataFrame([], INDEX)
+    lines = spark.read.option("pathGlobFilter", "*.idx").text(folder).select(
+        F.regexp_replace("_metadata.file_path", r"\.idx$", "").alias("archive"), F.from_json("value", "array<string>").alias("x")
+    )
+    return lines.select("archive", *(F.col("x")[i].cast(kind).alias(c) for i, (c, kind) in enumerate(f.split() for f in INDEX.split(", ")[1:])))
 
 
 def read_records(index: DataFrame) -> DataFrame:
@@ -210,8 +220,9 @@ def read_records(index: DataFrame) -> DataFrame:
 
 
 def archive_round_trip(pages: DataFrame) -> DataFrame:
-    """Write `pages` as whole-file gzip streams, normalise them, and read every record back through the index."""
+    """Write `pages` as whole-file gzip streams, normalise them, and read every record back through the sidecar indexes."""
     spark = pages.sparkSession
     folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
     write_archives(records(pages), f"{folder}/streams")
-    return read_records(stored(normalise_archives(spark, f"{folder}/streams", f"{folder}/archives")))
+    normalise_archives(spark, f"{folder}/streams", f"{folder}/archives").write.format("noop").mode("overwrite").save()
+    return read_records(read_index(spark, f"{folder}/archives"))
