@@ -223,6 +223,34 @@ def test_licenses(spark, docs, empty):
     assert licenses.scan_licenses(docs).count() == docs.count() and licenses.scan_licenses(empty).count() == 0
 
 
+def test_base_places_against_brute_force(spark):
+    draw = random.Random(9)
+    vocabulary = ["gnu", "GENERAL", "general", "public", "license", "License", "apache", "cc", "by", "mit", "x", "é", "the", "licensed", "under"]
+    glue = [" ", " ", "\n", "-", ".", "  ", "\x7f", "_"]
+    table = [(i, "".join(draw.choice(vocabulary) + draw.choice(glue) for _ in range(draw.randrange(60)))) for i in range(300)]
+    table += [(400, "gnu general public license " * 9), (401, "CC-BY" * 3), (402, None), (403, "gnu general public licenseé"), (None, "mit license")]
+    for r in licenses.scan_licenses(spark.createDataFrame(table, "doc_id long, text string")).collect():
+        text = dict(table)[r["doc_id"]] or ""
+        found = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text))
+        places = [(i, label) for phrase, label in licenses.PHRASES.items() for i in range(len(found)) if found[i : i + len(phrase.split())] == phrase.split()]
+        starts = [i for i, _ in places]
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"]) == (len(found), len(places), min(starts, default=None), max(starts, default=None))
+        assert r["base_labels"] == ",".join(sorted({x for _, x in places})) and set(filter(None, r["base_labels"].split(","))) <= set(r["labels"].split(","))
+        assert r["labels"] == ",".join(sorted(set(r["labels"].split(",")))) and 0 <= r["score"] <= 1
+
+
+def test_labels_of_edited_and_neighbouring_notices(spark):
+    texts = {
+        1: ("This work is licensed under the Foo Apache License, Version 2.0", "apache,apache-2.0"),
+        2: ("Licensed under CC BY-NC-SA 4.0", "cc-by,cc-by-nc-sa"), 3: ("Licensed under CC BY-NC 4.0", "cc-by,cc-by-nc"), 4: ("licensed under cc by 4.0", "cc-by,cc-by-4.0"),
+        5: ("Licensed under CC BY-SA 4.0 and later: Released under the MIT License.", "cc-by,cc-by-sa,mit,mit-notice"),
+        6: ("the license is under this work", ""), 7: (licenses.TEMPLATES["gpl-program"], "gpl,gpl-program"),
+        8: ("x " * 50_000 + licenses.TEMPLATES["apache-2.0-notice"], "apache,apache-2.0-notice"),
+    }
+    frame = spark.createDataFrame([(i, t) for i, (t, _) in texts.items()], "doc_id long, text string")
+    assert {r["doc_id"]: r["labels"] for r in licenses.scan_licenses(frame).collect()} == {i: x for i, (_, x) in texts.items()}
+
+
 def test_matching_statistics_against_brute_force():
     draw = random.Random(3)
     texts = [[draw.randrange(3) for _ in range(draw.randrange(2, 30))] for _ in range(6)]
@@ -251,6 +279,65 @@ def test_language(spark, docs, empty):
     assert {r["lang_pred"] for r in language.identify(frame.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def spoken(table: list[tuple]) -> dict:
+    """Operator 7 in plain Python: (language, score) by id, from what is not held out."""
+    import math
+    import unicodedata
+
+    def words_of(text: str | None) -> list[str]:
+        return "".join(c if unicodedata.category(c)[0] in "LM" else " " for c in (text or "").lower()).split()
+
+    grams = lambda word, n: [f"<{word}>"[i : i + n] for i in range(len(word) + 3 - n)]
+    counts: dict[int, dict[str, Counter]] = {n: {} for n in range(6)}
+    for i, text, lang in table:
+        if text is not None and lang is not None and (i is None or zlib.crc32(str(i).encode()) % 4 != 2):
+            for word in words_of(text):
+                for n in range(6):
+                    for unit in [word] if n == 0 else grams(word, n):
+                        counts[n].setdefault(unit, Counter())[lang] += 1
+    known = {n: {u: c for u, c in by.items() if sum(c.values()) > 1} for n, by in counts.items()}
+    langs = sorted({x for by in known.values() for c in by.values() for x in c})
+    totals = {n: {x: sum(c[x] for c in by.values()) for x in langs} for n, by in known.items()}
+
+    def logs(n: int, unit: str) -> list[float]:
+        raw = [math.log(known[n][unit][x] + 0.1) - math.log(totals[n][x] + 0.1 * len(known[n])) for x in langs]
+        return [v - sum(raw) / len(raw) for v in raw]
+
+    def of(word: str) -> list[float]:
+        if word in known[0]:
+            return logs(0, word)
+        for n in (5, 4, 3, 2, 1):
+            found = [logs(n, g) for g in grams(word, n) if g in known[n]]
+            if found:
+                return [sum(v) / len(found) for v in zip(*found, strict=True)]
+        return [0.0] * len(langs)
+
+    out = {}
+    for i, text, _ in table:
+        ws = words_of(text)
+        if not any(c.isalpha() for c in text or ""):
+            out[i] = ("und", 0.0)
+            continue
+        mean = [sum(v) / len(ws) for v in zip(*map(of, ws), strict=True)]
+        out[i] = (langs[mean.index(max(mean))], math.exp(max(mean)) / sum(map(math.exp, mean)))
+    return out
+
+
+def test_language_against_python(spark):
+    """Words of several scripts, marks within words, quotes around them, unseen words."""
+    draw = random.Random(6)
+    stems = {"fr": ["l’été", "aujourd’hui", "«bonjour»", "Où", "ça"], "hi": ["नमस्ते", "हिन्दी", "क्या"], "de": ["Straße", "über", "daß"]}
+    table = []
+    for i in range(240):
+        lang = draw.choice(sorted(stems))
+        table.append((i, " ".join(draw.choice(stems[lang]) + draw.choice(["", "", "s", "en", "!", "—x"]) for _ in range(draw.randrange(1, 9))), lang))
+    table += [(900, "l’été «bonjour» zzz", None), (901, "1 2", "fr"), (902, "é" * 300_000, None), (903, None, "de"), (904, "", "de")]
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.identify(spark.createDataFrame(table, "doc_id long, text string, lang string")).collect()}
+    want = spoken(table)
+    assert {i: v[0] for i, v in got.items()} == {i: v[0] for i, v in want.items()} and got[900][0] == "fr"
+    assert all(got[i][1] == pytest.approx(want[i][1], abs=1e-5) for i in want)
+
+
 def test_decontamination_against_brute_force(spark, docs, empty):
     texts = [r[1] for r in rows()]
     items = [(i, t) for i, t in enumerate([
@@ -311,6 +398,47 @@ def test_quality(spark, docs, empty):
     assert quality.quality_rules(empty, labels).count() == 0
 
 
+def scored(table: list[tuple], trusted: set) -> dict:
+    """Operator 10 in plain Python: (base rules failed, mean log ratio, kept) by id."""
+    import math
+
+    def grams(text: str | None) -> list[int]:
+        data = bytes(32 if b == 32 or 9 <= b <= 13 else 48 if 48 <= b <= 57 else b for b in (text or "").encode())
+        return [(int.from_bytes(data[i : i + 3], "little") * 2654435761 % (1 << 32)) >> 16 for i in range(len(data) - 2)]
+
+    corpus, good = Counter(), Counter()
+    for i, text in table:
+        corpus.update(grams(text))
+        if i in trusted:
+            good.update(grams(text))
+    def weight(b: int) -> int:
+        share = (corpus[b] + 0.5) / (sum(corpus.values()) + 0.5 * 65536)
+        return round(math.log((good[b] + share * 1000) / (sum(good.values()) + 1000) / share) * 2**20)
+
+    weights = {b: weight(b) for b in corpus}
+    out = {}
+    for i, text in table:
+        words_, found = WORD.findall(text or ""), grams(text)
+        windows = Counter(zip(words_, words_[1:], words_[2:], strict=False))
+        covered = {k + j for k in range(len(words_) - 2) if windows[tuple(words_[k : k + 3])] > 1 for j in range(3)}
+        failed = len(words_) < 50 or 100 * len(covered) > 50 * len(words_)
+        total = sum(weights[b] for b in found)
+        out[i] = (failed, total / len(found) / 2**20 if found else None, not failed and total >= round(-0.25 * 2**20) * len(found))
+    return out
+
+
+def test_quality_score_against_python(spark):
+    draw = random.Random(13)
+    table = [(i, prose(600 + i, draw.randrange(20, 200))) for i in range(60)]
+    table += [(100 + i, " ".join(f"{x}#$%" for x in WORD.findall(prose(800 + i, 80)))) for i in range(10)]
+    table += [(200, "é 1 2\t3 " * 40 + prose(5, 200)), (201, None), (202, "ab"), (203, ""), (204, prose(6, 3000))]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 60, 2)] + [(101, 0, 0), (1, 1, 1)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: (r["base_failed"], r["score"], r["kept"]) for r in quality.quality_rules(spark.createDataFrame(table, "doc_id long, text string"), labels).collect()}
+    want = scored(table, set(range(0, 60, 2)))
+    assert {i: (v[0], v[2]) for i, v in got.items()} == {i: (v[0], v[2]) for i, v in want.items()}
+    assert all(got[i][1] == pytest.approx(want[i][1], abs=1e-5) for i in want) and len({v[2] for v in want.values()}) == 2
+
+
 def test_warc_round_trip(spark):
     long = "ä" * 60
     table = [
@@ -333,6 +461,9 @@ def test_normalised_members(spark, tmp_path):
     warc.write_archives(warc.records(pages).repartition(2), f"file://{tmp_path}/streams")
     index = warc.normalise_archives(spark, f"file://{tmp_path}/streams", f"file://{tmp_path}/archives").collect()
     assert len(index) == 40
+    read = warc.read_index(spark, f"file://{tmp_path}/archives").collect()
+    plain = lambda rows_: sorted((r["archive"].removeprefix("file:").replace("//", ""), *r[1:]) for r in rows_)
+    assert plain(read) == plain(index)
     for r in index:
         path = r["archive"].removeprefix("file://")
         with open(path, "rb") as f:
