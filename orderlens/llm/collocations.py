@@ -90,7 +90,7 @@ def _salts(langs: pa.Array) -> np.ndarray:
 
 
 def _counts(texts: DataFrame, n: int, frequent: Broadcast | None) -> DataFrame:
-    """a, check, length, count and copy (a hash of a text) for the n-grams of every shard; length 0: words of a language."""
+    """key, check, length, n and copy (32 bits of a hash of a text) for the n-grams of every shard; length 0: words of a language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,11 +122,11 @@ def _counts(texts: DataFrame, n: int, frequent: Broadcast | None) -> DataFrame:
                     columns = [np.concatenate(x) for x in zip(columns, more, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["key", "check", "length", "n", "copy"])
 
-    return texts.mapInArrow(run, "key long, check int, length int, n long, copy long")
+    return texts.mapInArrow(run, "key long, check int, length int, n long, copy int")
 
 
 def _frequent(texts: DataFrame, longest: int, count: int) -> list[DataFrame]:
-    """key, check, length, count and copy of the frequent n-grams, length by length; the first table has the languages, too."""
+    """key, check, length, n and copy of the frequent n-grams, length by length; the first table has the languages, too."""
     out, marks = [], None
     for n in range(1, longest + 1):
         sums = _counts(texts, n, marks).groupBy("key", "check", "length").agg(F.sum("n").alias("n"), F.min("copy").alias("copy"))
@@ -141,11 +141,11 @@ PARTS = "array<struct<k: int, left_key: long, left_check: int, right_key: long,
 
 def _read_back(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """lang, key, check, length, n, phrase and parts of the wanted n-grams, from the texts that they point to."""
-    marks = bits.tables(wanted, "copy", [F.col("copy").isNotNull()])
+    marks = bits.tables(wanted.select(F.xxhash64("copy").alias("copy")), "copy", [F.col("copy").isNotNull()])
 
     def pointed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(bits.test(marks.value[0], batch.column("copy").to_numpy())))
+            yield batch.filter(pa.array(bits.test(marks.value[0], batch.column("mark").to_numpy()))).drop_columns(["mark"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -184,7 +184,7 @@ def _read_back(texts: DataFrame, wanted: DataFrame) -> DataFrame:
                             out.append((lang, key[j], check[j], size, n[j], phrase, parts))
                 yield pa.RecordBatch.from_pylist([dict(zip(RECORD.names, r, strict=True)) for r in out], schema=RECORD)
 
-    texts = texts.mapInArrow(pointed, texts.schema).dropDuplicates(["copy", "lang"])
+    texts = texts.withColumn("mark", F.xxhash64("copy")).mapInArrow(pointed, texts.schema).dropDuplicates()
     lists = wanted.groupBy("copy").agg(F.collect_list(F.struct("key", "check", "length", "n")).alias("wanted"))  # at most the text's own n-grams
     return texts.join(lists, "copy").select("lang", "text", "wanted").mapInArrow(
         run, f"lang string, key long, check int, length int, n long, phrase string, parts {PARTS}"
@@ -209,10 +209,10 @@ def collocations(docs: DataFrame, longest: int = LONGEST, count: int = COUNT, fi
     every row counts, so repeated rows count again; further columns are ignored; an empty table gives no rows.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.xxhash64(text).alias("copy"), text.alias("text"))
+    texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.hash(text).alias("copy"), text.alias("text"))
     levels = _frequent(texts, longest, count)
     wanted = reduce(DataFrame.unionByName, levels).filter("length <> 1")
-    found = stored(_read_back(texts, wanted).dropDuplicates(["key", "check", "lang", "phrase"]))
+    found = stored(_read_back(texts, wanted).dropDuplicates(["key", "check", "lang", "phrase"]))  # several texts may share a pointer
     totals = found.filter("length = 0").select("lang", F.col("n").alias("total"))
     cuts = found.filter("length > 0").select("lang", "key", "check", "length", F.col("n").alias("a"), "phrase", F.explode("parts").alias("p")).select("*", "p.*").drop("p")
     known = stored(reduce(DataFrame.unionByName, levels).filter("length > 0").select("key", "check", "n"))
