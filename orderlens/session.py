@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,8 +62,30 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_SCOPES: list[list[str]] = []  # folders of the tables that open scopes have to remove
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The rows as a written table in the shared folder, for frames that several scans read in part."""
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library has written, in whatever file system it lies."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that `stored` writes inside are removed at the end, so what is made of them has to be written before."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            remove(spark, path)

@@ -123,3 +123,15 @@ def test_landed_counts(spark, tmp_path):
     assert (row["records"], row["declared"], row["agrees"]) == (5, 9, False)
     row = pages.landed_counts(users=landed.limit(0)).first()
     assert (row["records"], row["declared"], row["agrees"]) == (0, None, False)
+
+
+def test_scratch_removes_its_tables_only(spark):
+    from orderlens.session import scratch, stored
+
+    kept = stored(spark.range(3))
+    with scratch(spark):
+        gone = stored(spark.range(5))
+        assert gone.count() == 5
+    assert kept.count() == 3
+    with pytest.raises(Exception):
+        spark.read.parquet(gone.inputFiles()[0]).count()
