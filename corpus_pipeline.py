@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.llm import decontamination, mixing, quality, sharding, simhash
-from orderlens.session import shared_folder
+from orderlens.session import remove, scratch, shared_folder
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,11 +51,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; each stage's result is written and read again as the next one's documents."""
+    """All stages over `documents`; each stage's result is written and read again as the next one's documents, then the tables
+    that made it, and its predecessor, are removed."""
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for number, (_, stage) in enumerate(STAGES, 1):
         path = f"{folder}/stage-{number}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if number > 1:
+            remove(spark, f"{folder}/stage-{number - 1}")
     return docs
