@@ -11,11 +11,16 @@ from pyspark.sql import functions as F
 from orderlens.functions.text import same_text
 
 
-def valid_sales(df: DataFrame) -> DataFrame:
-    """Lines that count for indicators: by the quality flag, or by its conditions where the flag is absent."""
+def valid_line(df: DataFrame) -> Column:
+    """Whether a line counts for indicators: by the quality flag, or by its conditions where the flag is absent."""
     if "valid_sales_flag" in df.columns:
-        return df.filter(F.col("valid_sales_flag").cast("boolean"))
-    return df.filter((F.col("quantity") > 0) & (F.col("unit_price") > 0) & F.col("revenue").isNotNull())
+        return F.col("valid_sales_flag").cast("boolean")
+    return (F.col("quantity") > 0) & (F.col("unit_price") > 0) & F.col("revenue").isNotNull()
+
+
+def valid_sales(df: DataFrame) -> DataFrame:
+    """Lines that count for indicators."""
+    return df.filter(valid_line(df))
 
 
 def active_sales(df: DataFrame) -> DataFrame:

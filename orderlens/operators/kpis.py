@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from orderlens.fixed_values import STATUSES
 from orderlens.functions.numbers import percent, share
-from orderlens.operators.filters import valid_sales
+from orderlens.operators.filters import valid_line, valid_sales
 from orderlens.session import materialize
 
 
@@ -39,27 +39,35 @@ def sales_cube(sales: DataFrame, *keys: str) -> DataFrame:
     return materialize(sales.groupBy(*keys).agg(*measures))
 
 
-def _leader_of(cube: DataFrame, dimension: str) -> DataFrame:
-    """One row: label with the largest value (ties by label) and that value. A null label takes part."""
-    sums = cube.groupBy(dimension).agg(F.sum("revenue").alias("_v"))
-    best = F.min(F.struct((-F.col("_v")).alias("v"), F.col(dimension).alias("label")))
-    return sums.agg(best.alias("_best")).select(
-        F.col("_best.label").alias(f"leading_{dimension}"), (-F.col("_best.v")).alias(f"_{dimension}_value")
+def _rolled(cube: DataFrame, dimensions: Sequence[str]) -> tuple[DataFrame, dict[str, Column], Column]:
+    """The cube rolled up over each dimension and as a whole, in one aggregation of few rows; a test that picks each
+    dimension's rows, and one for the whole."""
+    rolled = cube.groupingSets([[d] for d in dimensions] + [[]], *dimensions).agg(
+        *[F.sum(c).alias(f"_{c}") for c in ("revenue", "quantity") if c in cube.columns], F.grouping_id(*dimensions).alias("_g")
     )
+    everything = (1 << len(dimensions)) - 1
+    tests = {d: F.col("_g") == everything - (1 << (len(dimensions) - 1 - i)) for i, d in enumerate(dimensions)}
+    return rolled, tests, F.col("_g") == everything
+
+
+def _leaders(tests: dict[str, Column], dimensions: Sequence[str]) -> list[Column]:
+    """Label with the largest value (ties by label) and that value. A null label takes part."""
+    return [
+        F.min(F.when(tests[d], F.struct((-F.col("_revenue")).alias("v"), F.col(d).alias("label")))).alias(f"_best_{d}") for d in dimensions
+    ]
+
+
+def _leader_columns(dimensions: Sequence[str]) -> dict[str, list[Column]]:
+    part = lambda d: F.coalesce(share(-F.col(f"_best_{d}.v"), F.col("_total")), F.lit(0.0))
+    return {d: [F.col(f"_best_{d}.label").alias(f"leading_{d}"), part(d).alias(f"leading_{d}_share")] for d in dimensions}
 
 
 def cube_leaders(cube: DataFrame, dimensions: Sequence[str] = DIMENSIONS) -> DataFrame:
     """One row: leading label and its share per dimension."""
-    out = cube.agg(F.sum("revenue").alias("_total"))
-    for dimension in dimensions:
-        out = out.crossJoin(_leader_of(cube, dimension))  # one-row frames
-    return out.select(
-        *[F.col(f"leading_{d}") for d in dimensions],
-        *[
-            F.coalesce(share(F.col(f"_{d}_value"), F.col("_total")), F.lit(0.0)).alias(f"leading_{d}_share")
-            for d in dimensions
-        ],
-    )
+    rolled, tests, whole = _rolled(cube, dimensions)
+    row = rolled.agg(F.max(F.when(whole, F.col("_revenue"))).alias("_total"), *_leaders(tests, dimensions))
+    columns = _leader_columns(dimensions)
+    return row.select(*[columns[d][0] for d in dimensions], *[columns[d][1] for d in dimensions])
 
 
 def leaders(df: DataFrame, dimensions: Sequence[str] = DIMENSIONS) -> DataFrame:
@@ -90,23 +98,35 @@ def _latest_change(cube: DataFrame, into: str) -> DataFrame:
 
 
 def calculate_kpis(df: DataFrame) -> DataFrame:
-    """The indicator row: sales totals, leaders, delivered rate over all orders, last monthly change."""
+    """The indicator row: sales totals, leaders, delivered rate over all orders, last monthly change.
+
+    Lines are read three times: into a cube of labels, by order (which gives the number of orders with a valid line and the
+    rate of delivered ones together), and by customer. Everything else rolls the cube up once.
+    """
     sales = valid_sales(df)
-    cube = sales_cube(sales, *DIMENSIONS, "year_month")
-    totals = cube.agg(F.sum("revenue").alias("_revenue"), F.sum("quantity").alias("_units"))
-    distinct = sales.agg(F.count_distinct("order_id").alias("orders"), F.count_distinct("user_id").alias("customers"))
-    delivered = status_rates(df, delivered="delivered_order_rate")
-    row = totals.crossJoin(distinct).crossJoin(cube_leaders(cube)).crossJoin(delivered)  # one-row frames
-    row = row.crossJoin(_latest_change(cube, "latest_month_change"))
-    return row.select(
-        shown("_revenue").alias("total_revenue"),
+    dimensions = (*DIMENSIONS, "year_month")
+    rolled, tests, whole = _rolled(sales_cube(sales, *dimensions), dimensions)
+    month = tests["year_month"] & F.col("year_month").isNotNull()
+    before = F.lag("_revenue").over(Window.partitionBy("_g", F.col("year_month").isNull()).orderBy("year_month"))  # one row for each month
+    cards = rolled.withColumn("_change", share(F.col("_revenue") - before, before)).agg(
+        F.max(F.when(whole, F.col("_revenue"))).alias("_total"), F.max(F.when(whole, F.col("_quantity"))).alias("_units"),
+        *_leaders(tests, DIMENSIONS), F.max_by(F.when(month, F.col("_change")), F.when(month, F.col("year_month"))).alias("latest_month_change"),
+    )
+    delivered = F.min_by(F.col("order_status").eqNullSafe("delivered").cast("int"), F.col("line_number"))
+    valid = F.max((valid_line(df) & F.col("order_id").isNotNull()).cast("int"))
+    orders = df.groupBy("order_id").agg(delivered.alias("_delivered"), valid.alias("_valid")).agg(
+        F.coalesce(F.sum("_valid"), F.lit(0)).alias("orders"), F.avg("_delivered").alias("_rate")
+    )
+    customers = sales.agg(F.count_distinct("user_id").alias("customers"))
+    return cards.crossJoin(orders).crossJoin(customers).select(  # one row each
+        shown("_total").alias("total_revenue"),
         shown("_units").alias("units_sold"),
         "orders",
         "customers",
-        share(F.col("_revenue"), F.col("orders")).alias("average_order_revenue"),
-        F.coalesce(share(F.col("_revenue"), F.col("_units")), F.lit(0.0)).alias("average_unit_price"),
-        *[c for d in ("country", "channel", "category") for c in (f"leading_{d}", f"leading_{d}_share")],
-        F.coalesce("delivered_order_rate", F.lit(0.0)).alias("delivered_order_rate"),
+        share(F.col("_total"), F.col("orders")).alias("average_order_revenue"),
+        F.coalesce(share(F.col("_total"), F.col("_units")), F.lit(0.0)).alias("average_unit_price"),
+        *[c for columns in _leader_columns(DIMENSIONS).values() for c in columns],
+        F.coalesce("_rate", F.lit(0.0)).alias("delivered_order_rate"),
         "latest_month_change",
     )
 
