@@ -145,30 +145,36 @@ _NUMERIC_LONG = (
 )
 
 
-@register(
-    "mann_whitney",
-    lines_with(
-        _ORDERS + ", " + _NUMERIC_LONG + """,
+_RANKS = """,
         t AS (SELECT variable, v, count(*) AS t, sum(f) AS t1 FROM x WHERE v IS NOT NULL GROUP BY 1, 2),
         r AS (SELECT *, sum(t) OVER (PARTITION BY variable ORDER BY v ROWS UNBOUNDED PRECEDING) - (t - 1) / 2.0 AS mid FROM t),
         s AS (SELECT variable, CAST(sum(t1) AS DOUBLE) AS n1, CAST(sum(t - t1) AS DOUBLE) AS n0, CAST(sum(t1 * mid) AS DOUBLE) AS r1,
               sum(CAST(t AS DOUBLE) * t * t - t) AS ties FROM r GROUP BY 1),
-        u AS (SELECT *, r1 - n1 * (n1 + 1) / 2 AS u, n1 + n0 AS n FROM s)""",
-        "SELECT variable, CAST(n1 AS BIGINT) AS n1, CAST(n0 AS BIGINT) AS n0, u, round((greatest(u, n1 * n0 - u) - n1 * n0 / 2 - 0.5) / "
-        "sqrt(n1 * n0 / 12 * ((n + 1) - ties / (n * (n - 1)))), 6) AS z, ties > 0 AS has_ties FROM u",
+        u AS (SELECT *, r1 - n1 * (n1 + 1) / 2 AS u, n1 + n0 AS n FROM s),
+        mw AS (SELECT *, (greatest(u, n1 * n0 - u) - n1 * n0 / 2 - 0.5) / sqrt(n1 * n0 / 12 * ((n + 1) - ties / (n * (n - 1)))) AS z FROM u)"""
+
+
+@register(
+    "mann_whitney",
+    lines_with(
+        _ORDERS + ", " + _NUMERIC_LONG + _RANKS,
+        "SELECT variable, CAST(n1 AS BIGINT) AS n1, CAST(n0 AS BIGINT) AS n0, u, round(z, 6) AS z, ties > 0 AS has_ties FROM mw",
     ),
 )
 def mann_whitney(spark, sf):
     return rounded(inference.mann_whitney(_orders(spark, sf)), 6, "z")
 
 
+_GROUPS = """,
+        g AS (SELECT variable, avg(v) FILTER (f = 1) AS a, avg(v) FILTER (f = 0) AS b, quantile_cont(v, 0.5) FILTER (f = 1) AS ma,
+            quantile_cont(v, 0.5) FILTER (f = 0) AS mb, corr(f, v) AS r, count(v) AS n, count(v) FILTER (f = 1) AS n1, count(v) FILTER (f = 0) AS n0,
+            var_samp(v) FILTER (f = 1) AS va, var_samp(v) FILTER (f = 0) AS vb FROM x WHERE v IS NOT NULL GROUP BY 1)"""
+
+
 @register(
     "group_comparison",
     lines_with(
-        _ORDERS + ", " + _NUMERIC_LONG + """,
-        g AS (SELECT variable, avg(v) FILTER (f = 1) AS a, avg(v) FILTER (f = 0) AS b, quantile_cont(v, 0.5) FILTER (f = 1) AS ma,
-            quantile_cont(v, 0.5) FILTER (f = 0) AS mb, corr(f, v) AS r, count(v) AS n, count(v) FILTER (f = 1) AS n1, count(v) FILTER (f = 0) AS n0,
-            var_samp(v) FILTER (f = 1) AS va, var_samp(v) FILTER (f = 0) AS vb FROM x WHERE v IS NOT NULL GROUP BY 1)""",
+        _ORDERS + ", " + _NUMERIC_LONG + _GROUPS,
         "SELECT variable, round(a, 4) AS media_cancelados, round(ma, 6) AS mediana_cancelados, round(b, 4) AS media_no_cancelados, "
         "round(mb, 6) AS mediana_no_cancelados, round(r, 6) AS correlacion_punto_biserial, n AS pares, "
         "round((a - b) / sqrt(((n1 - 1) * va + (n0 - 1) * vb) / (n1 + n0 - 2)), 6) AS smd FROM g",
@@ -179,21 +185,42 @@ def group_comparison(spark, sf):
     return rounded(out, 6, "mediana_cancelados", "mediana_no_cancelados", "correlacion_punto_biserial", "smd")
 
 
-@register("numeric_tests")
-def numeric_tests(spark, sf):
-    """With p values, which SQL lacks; its statistics are `mann_whitney` and `group_comparison`."""
-    return inference.numeric_tests(_orders(spark, sf))
+# upper tails by power series: of the gamma distribution, which has the normal and the chi-square ones, and of the beta distribution
+_GAMMA_TAIL = "(1 - list_sum([exp((n + {a}) * ln({x}) - {x} - lgamma(n + {a} + 1)) FOR n IN range(0, 2000)]))"
+_BETA_TAIL = "(1 - list_sum([exp((n + 0.5) * ln({y}) + {b} * ln(1 - {y}) + lgamma(n + 0.5 + {b}) - lgamma(n + 1.5) - lgamma({b})) FOR n IN range(0, 2000)]))"
 
 
 @register(
-    "chi_square",
+    "numeric_tests",
     lines_with(
+        _ORDERS + ", " + _NUMERIC_LONG + _RANKS + _GROUPS + ", p AS (SELECT g.*, CASE WHEN z <= 0 THEN 1.0 ELSE "
+        + _GAMMA_TAIL.format(a="0.5", x="(z * z / 2)") + " END AS pm, " + _BETA_TAIL.format(y="(r * r)", b="((g.n - 2) / 2.0)")
+        + " AS pr FROM g JOIN mw USING (variable))",
+        "SELECT variable, round(a, 4) AS media_cancelados, round(ma, 6) AS mediana_cancelados, round(b, 4) AS media_no_cancelados, "
+        "round(mb, 6) AS mediana_no_cancelados, round(pm, 6) AS mann_whitney_p, round(r, 6) AS correlacion_punto_biserial, round(pr, 6) AS correlacion_p, "
+        "round((a - b) / sqrt(((n1 - 1) * va + (n0 - 1) * vb) / (n1 + n0 - 2)), 6) AS smd, pm < 0.05 AS evidencia_p_menor_005 FROM p",
+    ),
+)
+def numeric_tests(spark, sf):
+    """With p values; SQL adds up the series of the tails."""
+    out = rounded(inference.numeric_tests(_orders(spark, sf)), 4, "media_cancelados", "media_no_cancelados")
+    return rounded(out, 6, "mediana_cancelados", "mediana_no_cancelados", "mann_whitney_p", "correlacion_punto_biserial", "correlacion_p", "smd")
+
+
+_CELLS = (
         _ORDERS + ", x AS (SELECT cancelled_flag AS f, unnest([" + ", ".join(f"'{v}'" for v in inference.CATEGORICAL_VARIABLES)
         + "]) AS variable, unnest([" + ", ".join(f"CAST({v} AS VARCHAR)" for v in inference.CATEGORICAL_VARIABLES) + """]) AS v FROM o),
         c AS (SELECT variable, v, CAST(sum(f) AS DOUBLE) AS o1, CAST(sum(1 - f) AS DOUBLE) AS o0 FROM x WHERE v IS NOT NULL GROUP BY 1, 2),
         n AS (SELECT *, sum(o1) OVER w AS n1, sum(o0) OVER w AS n0, count(*) OVER w AS k FROM c WINDOW w AS (PARTITION BY variable)),
         s AS (SELECT variable, k, n1 + n0 AS n, sum((o1 - (o1 + o0) * n1 / (n1 + n0)) ** 2 / ((o1 + o0) * n1 / (n1 + n0))
-              + (o0 - (o1 + o0) * n0 / (n1 + n0)) ** 2 / ((o1 + o0) * n0 / (n1 + n0))) AS x2 FROM n GROUP BY ALL)""",
+              + (o0 - (o1 + o0) * n0 / (n1 + n0)) ** 2 / ((o1 + o0) * n0 / (n1 + n0))) AS x2 FROM n GROUP BY ALL)"""
+)
+
+
+@register(
+    "chi_square",
+    lines_with(
+        _CELLS,
         "SELECT variable, round(x2, 6) AS chi2, k - 1 AS grados_libertad, round(sqrt(x2 / n), 6) AS cramers_v FROM s",
     ),
 )
@@ -201,10 +228,17 @@ def chi_square(spark, sf):
     return rounded(inference.chi_square(_orders(spark, sf)), 6, "chi2", "cramers_v")
 
 
-@register("categorical_tests")
+@register(
+    "categorical_tests",
+    lines_with(
+        _CELLS + ", p AS (SELECT *, " + _GAMMA_TAIL.format(a="((k - 1) / 2.0)", x="greatest(x2 / 2, 1e-300)") + " AS p FROM s)",
+        "SELECT variable, round(x2, 6) AS chi2, k - 1 AS grados_libertad, round(p, 6) AS p_value, round(sqrt(x2 / n), 6) AS cramers_v, "
+        "p < 0.05 AS evidencia_p_menor_005 FROM p",
+    ),
+)
 def categorical_tests(spark, sf):
-    """With p values, which SQL lacks; its statistics are `chi_square`."""
-    return inference.categorical_tests(_orders(spark, sf))
+    """With p values; SQL adds up the series of the chi-square tail."""
+    return rounded(inference.categorical_tests(_orders(spark, sf)), 6, "chi2", "p_value", "cramers_v")
 
 
 _ATTRIBUTES = ("unit_price", "catalog_price", "discount_percentage", "rating", "inventory", "quantity", "revenue")
