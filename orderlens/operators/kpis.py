@@ -39,7 +39,7 @@ def sales_cube(sales: DataFrame, *keys: str) -> DataFrame:
     return materialize(sales.groupBy(*keys).agg(*measures))
 
 
-def _rolled(cube: DataFrame, dimensions: Sequence[str]) -> tuple[DataFrame, dict[str, Column], Column]:
+def rolled_up(cube: DataFrame, dimensions: Sequence[str]) -> tuple[DataFrame, dict[str, Column], Column]:
     """The cube rolled up over each dimension and as a whole, in one aggregation of few rows; a test that picks each
     dimension's rows, and one for the whole."""
     rolled = cube.groupingSets([[d] for d in dimensions] + [[]], *dimensions).agg(
@@ -50,23 +50,23 @@ def _rolled(cube: DataFrame, dimensions: Sequence[str]) -> tuple[DataFrame, dict
     return rolled, tests, F.col("_g") == everything
 
 
-def _leaders(tests: dict[str, Column], dimensions: Sequence[str]) -> list[Column]:
+def leader_values(tests: dict[str, Column], dimensions: Sequence[str]) -> list[Column]:
     """Label with the largest value (ties by label) and that value. A null label takes part."""
     return [
         F.min(F.when(tests[d], F.struct((-F.col("_revenue")).alias("v"), F.col(d).alias("label")))).alias(f"_best_{d}") for d in dimensions
     ]
 
 
-def _leader_columns(dimensions: Sequence[str]) -> dict[str, list[Column]]:
+def leader_columns(dimensions: Sequence[str]) -> dict[str, list[Column]]:
     part = lambda d: F.coalesce(share(-F.col(f"_best_{d}.v"), F.col("_total")), F.lit(0.0))
     return {d: [F.col(f"_best_{d}.label").alias(f"leading_{d}"), part(d).alias(f"leading_{d}_share")] for d in dimensions}
 
 
 def cube_leaders(cube: DataFrame, dimensions: Sequence[str] = DIMENSIONS) -> DataFrame:
     """One row: leading label and its share per dimension."""
-    rolled, tests, whole = _rolled(cube, dimensions)
-    row = rolled.agg(F.max(F.when(whole, F.col("_revenue"))).alias("_total"), *_leaders(tests, dimensions))
-    columns = _leader_columns(dimensions)
+    rolled, tests, whole = rolled_up(cube, dimensions)
+    row = rolled.agg(F.max(F.when(whole, F.col("_revenue"))).alias("_total"), *leader_values(tests, dimensions))
+    columns = leader_columns(dimensions)
     return row.select(*[columns[d][0] for d in dimensions], *[columns[d][1] for d in dimensions])
 
 
@@ -105,12 +105,12 @@ def calculate_kpis(df: DataFrame) -> DataFrame:
     """
     sales = valid_sales(df)
     dimensions = (*DIMENSIONS, "year_month")
-    rolled, tests, whole = _rolled(sales_cube(sales, *dimensions), dimensions)
+    rolled, tests, whole = rolled_up(sales_cube(sales, *dimensions), dimensions)
     month = tests["year_month"] & F.col("year_month").isNotNull()
     before = F.lag("_revenue").over(Window.partitionBy("_g", F.col("year_month").isNull()).orderBy("year_month"))  # one row for each month
     cards = rolled.withColumn("_change", share(F.col("_revenue") - before, before)).agg(
         F.max(F.when(whole, F.col("_revenue"))).alias("_total"), F.max(F.when(whole, F.col("_quantity"))).alias("_units"),
-        *_leaders(tests, DIMENSIONS), F.max_by(F.when(month, F.col("_change")), F.when(month, F.col("year_month"))).alias("latest_month_change"),
+        *leader_values(tests, DIMENSIONS), F.max_by(F.when(month, F.col("_change")), F.when(month, F.col("year_month"))).alias("latest_month_change"),
     )
     delivered = F.min_by(F.col("order_status").eqNullSafe("delivered").cast("int"), F.col("line_number"))
     valid = F.max((valid_line(df) & F.col("order_id").isNotNull()).cast("int"))
@@ -125,7 +125,7 @@ def calculate_kpis(df: DataFrame) -> DataFrame:
         "customers",
         share(F.col("_total"), F.col("orders")).alias("average_order_revenue"),
         F.coalesce(share(F.col("_total"), F.col("_units")), F.lit(0.0)).alias("average_unit_price"),
-        *[c for columns in _leader_columns(DIMENSIONS).values() for c in columns],
+        *[c for columns in leader_columns(DIMENSIONS).values() for c in columns],
         F.coalesce("_rate", F.lit(0.0)).alias("delivered_order_rate"),
         "latest_month_change",
     )

@@ -18,8 +18,8 @@ from orderlens.fixed_values import (
     SCENARIOS,
 )
 from orderlens.functions.numbers import line_value, share
-from orderlens.operators.filters import semi_lines, with_defaults
-from orderlens.operators.kpis import shown, status_rates, total
+from orderlens.operators.filters import with_defaults
+from orderlens.operators.kpis import DIMENSIONS, leader_values, rolled_up, shown, total
 from orderlens.session import materialize
 
 LEVEL_KEYS = ("user_id", "product_id", "category", "brand")
@@ -178,11 +178,13 @@ def missing_listing(scenarios: DataFrame, columns: Sequence[str] = LISTING_COLUM
     return scenarios.filter(F.col("quantity").isNull()).select(*[c for c in columns if c in scenarios.columns])
 
 
-def affected_orders(scenarios: DataFrame) -> DataFrame:
-    """Known subtotal and scenario limits of every order with a missing quantity."""
+def affected_orders(scenarios: DataFrame, lines: DataFrame | None = None) -> DataFrame:
+    """Known subtotal and scenario limits of every order with a missing quantity. With the `lines` that the scenarios were
+    made of, the orders concerned are read from those, not by making the scenarios twice."""
     missing = F.col("quantity").isNull()
     # the known lines of the affected orders are kept by a semi join, before anything is aggregated
-    touched = semi_lines(scenarios.filter("order_id is not null"), missing, "order_id")
+    concerned = (scenarios if lines is None else lines).filter(missing & F.col("order_id").isNotNull()).select("order_id").distinct()
+    touched = scenarios.join(concerned, "order_id", "left_semi")
     return (
         touched.groupBy(*ORDER_KEYS)
         .agg(
@@ -229,25 +231,25 @@ def kpi_board(df: DataFrame, scenario: str = "Original") -> DataFrame:
     """The ten cards of the dashboard for one scenario, over all selected lines (null measures count as zero)."""
     label, q, r = next(s for s in SCENARIOS if s[0] == scenario)
     full = with_defaults(df, FALLBACK).withColumns({"_q": F.col(q).cast("double"), "_r": F.col(r)})
-    cube = materialize(full.groupBy("country", "channel", "category").agg(total("_r").alias("_r"), total("_q").alias("_q")))
-    totals = cube.agg(total("_r").alias("_revenue"), total("_q").alias("_units"))
-    distinct = full.agg(F.count_distinct("order_id").alias("orders"), F.count_distinct("user_id").alias("customers"))
+    labels = [F.coalesce(d, F.lit(NO_DATA)).alias(d) for d in DIMENSIONS]
+    cube = materialize(full.groupBy(*labels).agg(total("_r").alias("revenue"), total("_q").alias("quantity")))
+    rolled, tests, whole = rolled_up(cube, DIMENSIONS)
+    cards = rolled.agg(
+        F.coalesce(F.max(F.when(whole, F.col("_revenue"))), F.lit(0)).alias("_total"),
+        F.coalesce(F.max(F.when(whole, F.col("_quantity"))), F.lit(0.0)).alias("_units"), *leader_values(tests, DIMENSIONS),
+    )
     # here an order counts by its last line
-    delivered = status_rates(full, F.max_by, delivered="_delivered").select(
-        F.coalesce("_delivered", F.lit(0.0)).alias("delivered_share")
+    delivered = F.max_by(F.col("order_status").eqNullSafe("delivered").cast("int"), F.col("line_number"))
+    orders = full.groupBy("order_id").agg(delivered.alias("_delivered")).agg(
+        F.count("order_id").alias("orders"), F.coalesce(F.avg("_delivered"), F.lit(0.0)).alias("delivered_share")
     )
-    out = totals.crossJoin(distinct).crossJoin(delivered)  # one-row frames, here and below
-    for d in ("country", "channel", "category"):
-        sums = cube.groupBy(F.coalesce(d, F.lit(NO_DATA)).alias("label")).agg(F.sum("_r").alias("_v"))
-        out = out.crossJoin(
-            sums.agg(F.coalesce(F.min(F.struct((-F.col("_v")).alias("v"), "label"))["label"], F.lit("—")).alias(f"leading_{d}"))
-        )
-    return out.select(
-        F.lit(label).alias("scenario"), shown("_revenue").alias("revenue"), F.col("_units").alias("units"),
+    customers = full.agg(F.count_distinct("user_id").alias("customers"))
+    return cards.crossJoin(orders).crossJoin(customers).select(  # one row each
+        F.lit(label).alias("scenario"), shown("_total").alias("revenue"), F.col("_units").alias("units"),
         "orders", "customers",
-        share(F.col("_revenue"), F.greatest("orders", F.lit(1))).alias("value_per_order"),
-        share(F.col("_revenue"), F.when(F.col("_units") == 0, 1.0).otherwise(F.col("_units"))).alias("price_per_unit"),
-        "leading_country", "leading_channel", "leading_category", "delivered_share",
+        share(F.col("_total"), F.greatest("orders", F.lit(1))).alias("value_per_order"),
+        share(F.col("_total"), F.when(F.col("_units") == 0, 1.0).otherwise(F.col("_units"))).alias("price_per_unit"),
+        *[F.coalesce(F.col(f"_best_{d}.label"), F.lit("—")).alias(f"leading_{d}") for d in DIMENSIONS], "delivered_share",
     )
 
 

@@ -498,6 +498,36 @@ def lenient_values(spark, sf):
     )
 
 
+@register(
+    "line_values",
+    lines(
+        "SELECT order_id, line_number, product_id, CASE WHEN product_id % 17 = 0 THEN 'Pieza ' || product_id ELSE product_name END AS product_name, CASE WHEN "
+        "product_id % 19 = 0 THEN 'LINE' ELSE category END AS category, discount_percentage FROM e"
+    ),
+)
+def line_values(spark, sf):
+    """The line's own name and category stand before those of the catalog, once they are more than spaces."""
+    fact = star.lines(spark, sf, declared=False).withColumns({
+        "line_product_name": F.when(F.col("product_id") % 17 == 0, F.concat(F.lit(" Pieza "), F.col("product_id").cast("string"))).when(F.col("product_id") % 2 == 0, "  "),
+        "line_category": F.when(F.col("product_id") % 19 == 0, "LINE\t").when(F.col("product_id") % 3 == 0, ""),
+    })
+    joined = enrich.join_dimensions(fact, enrich.prepare_products(star.products(spark, sf), unique=True, flag_sku=False), None)
+    columns = ["order_id", "line_number", "product_id", "product_name", "category", "discount_percentage"]
+    return enrich.derive_columns(joined, columns).select(*columns)
+
+
+@register(
+    "lines_with_gaps",
+    lines(
+        "SELECT order_id, line_number, product_id, quantity, rating, inventory, discount_percentage FROM e WHERE quantity IS NULL OR rating IS NULL OR "
+        "inventory IS NULL OR discount_percentage IS NULL"
+    ),
+)
+def lines_with_gaps(spark, sf):
+    """Lines that lack one of four measures; others have them all."""
+    return filters.rows_with_nulls(star.enriched(spark, sf, *integrity.LINE_KEY, "quantity", "rating", "inventory", "discount_percentage"))
+
+
 @register("report_file", lines("SELECT country, channel, count(*) AS lineas, CAST(sum(revenue) AS DOUBLE) AS revenue FROM e GROUP BY 1, 2"))
 def report_file(spark, sf):
     """A report of one row a country and channel, written as one CSV file and read back."""

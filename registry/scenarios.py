@@ -143,8 +143,9 @@ def scenario_comparison(spark, sf):
     ),
 )
 def affected_orders(spark, sf):
-    df = _scenarios(spark, sf, "order_id", "order_date", "order_status", "channel")
-    return rounded(scenarios.affected_orders(df), 2, "estimated_revenue_range")
+    lines = star.master(spark, sf, "order_id", "order_date", "order_status", "channel", *_NEEDED)
+    out = scenarios.affected_orders(scenarios.build_retrospective_scenarios(lines), lines)
+    return rounded(out, 2, "estimated_revenue_range")
 
 
 _STACK = """,
