@@ -167,3 +167,13 @@ def test_dashboard_datasets(df):
     assert views["board"].first()["revenue"] == 600
     assert views["missing"].count() == 1
     assert {r["scenario"] for r in views["scenarios"].collect()} == {"Original", "Mínimo mayorista", "Random Forest", "Máximo jerárquico"}
+
+
+def test_alerts_by_any_of_the_eight_measures(spark, df):
+    """A product whose reviews alone stand out has a history, and an alert of another variable."""
+    fences = {m: None for m in outliers.MEASURES} | {"reviews": (0.0, 20.0)}
+    lines = df.withColumns({"reviews": F.col("product_id") * 10, "catalog_price": F.col("unit_price")})
+    flagged = outliers.flag_outliers(lines, outliers.MEASURES, fences)
+    rows = outliers.product_price_summary(flagged).collect()
+    high = {r["product_id"] for r in lines.filter("reviews > 20").select("product_id").collect()}
+    assert {r["product_id"] for r in rows} == high and high and {r["tipo_alerta"] for r in rows} == {"Otra variable"}
