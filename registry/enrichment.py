@@ -596,7 +596,7 @@ _SQL_TYPES["price_difference"] = "decimal(19,2)"
     ),
 )
 def schema_report(spark, sf):
-    return profile.schema_report(star.enriched(spark, sf, *_PROFILED))
+    return profile.schema_report(star.master(spark, sf, *_PROFILED))
 
 
 _SOURCES = dict.fromkeys(enrich.LINE_COLUMNS, "carts")
