@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import DataFrame
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from orderlens.functions import tails
 from orderlens.operators.ordered import exact_percentiles, running_totals
 from orderlens.operators.shape import long_form
-from orderlens.session import materialize
+from orderlens.session import materialize, stored
 
 NUMERIC_VARIABLES = (
     "total_quantity", "order_revenue", "line_count", "avg_unit_price",
@@ -25,6 +26,7 @@ CATEGORICAL_VARIABLES = (
     "country", "channel", "retailer_type", "dominant_price_segment", "dominant_category", "month", "quarter",
 )
 EXACT_SAMPLE = 8
+FEW_VALUES = 100_000  # ranks of an attribute with so many values at most are sent to every task
 
 
 def mann_whitney(orders: DataFrame, variables: Sequence[str] = NUMERIC_VARIABLES) -> DataFrame:
@@ -178,53 +180,48 @@ def categorical_tests(orders: DataFrame, variables: Sequence[str] = CATEGORICAL_
     )
 
 
+def _counted_values(rows: DataFrame, attributes: Sequence[str], known: dict[str, str]) -> DataFrame:
+    """side, value and the rows that have it: in all (t_all), and with each attribute of `known` beside it."""
+    sides = [
+        rows.filter(F.col(a).isNotNull()).groupBy(F.col(a).alias("value"))
+        .agg(F.count(F.lit(1)).alias("t_all"), *[F.count(k).alias(f"t_{n}") for k, n in known.items()])
+        .select(F.lit(i).alias("side"), "*")
+        for i, a in enumerate(attributes)
+    ]
+    return reduce(DataFrame.unionByName, sides)
+
+
 def spearman(df: DataFrame, attributes: Sequence[str]) -> DataFrame:
     """Rank correlation of every pair over its complete rows, in long form (both directions and the diagonal).
 
-    Rows are reduced to counted value pairs; ranks come from the running counts of each side.
+    Each value of an attribute is ranked once by the running counts of its values: among all its rows and, for every other
+    attribute with nulls, among the rows that have that one. Ranks are taken from their mean, which is that of 1 to n. The rows
+    then look up their values, so a pair is a product of two columns and no row comes once for each pair.
     """
-    x = {a: F.col(a).cast("double") for a in attributes}
-    pairs = list(combinations(attributes, 2))
-    exploded = df.select(
-        F.explode(
-            F.array(
-                *[
-                    F.when(
-                        x[a].isNotNull() & x[b].isNotNull(),
-                        F.struct(F.lit(i).alias("pair"), x[a].alias("x"), x[b].alias("y")),
-                    )
-                    for i, (a, b) in enumerate(pairs)
-                ]
-            )
-        ).alias("p")
-    )
-    counted = materialize(
-        exploded.filter("p is not null").select("p.*").groupBy("pair", "x", "y").agg(F.count(F.lit(1)).alias("n"))
-    )
-    sides = counted.select("pair", F.lit("x").alias("side"), F.col("x").alias("value"), "n").unionByName(
-        counted.select("pair", F.lit("y").alias("side"), F.col("y").alias("value"), "n")
-    )
-    values = sides.groupBy("pair", "side", "value").agg(F.sum("n").alias("t"))
-    ranked = running_totals(values, "value", {"until": F.col("t")}, by=["pair", "side"]).withColumn(
-        "rank", F.col("until") - (F.col("t") - 1) / 2
-    )
-    rank_of = lambda s: ranked.filter(F.col("side") == s).select("pair", F.col("value").alias(s), F.col("rank").alias(f"r{s}"))
-    joined = counted.join(rank_of("x"), ["pair", "x"]).join(rank_of("y"), ["pair", "y"])
-    weighted = lambda c: F.sum(F.col("n") * c)
-    rx, ry = F.col("rx"), F.col("ry")
-    moments = joined.groupBy("pair").agg(
-        F.sum("n").cast("double").alias("w"), weighted(rx).alias("sx"), weighted(ry).alias("sy"),
-        weighted(rx * rx).alias("sxx"), weighted(ry * ry).alias("syy"), weighted(rx * ry).alias("sxy"),
-    )
-    spread = lambda s, ss: F.col("w") * F.col(ss) - F.col(s) * F.col(s)
-    rho = F.try_divide(
-        F.col("w") * F.col("sxy") - F.col("sx") * F.col("sy"), F.sqrt(spread("sx", "sxx")) * F.sqrt(spread("sy", "syy"))
-    )
-    names = df.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "pair int, a string, b string")
-    one_way = moments.join(F.broadcast(names), "pair").select("a", "b", rho.alias("rho"))
-    diagonal = df.sparkSession.createDataFrame([(a, a, 1.0) for a in attributes], "a string, b string, rho double")
-    return (
-        one_way.unionByName(one_way.select(F.col("b").alias("a"), F.col("a").alias("b"), "rho"))
-        .unionByName(diagonal)
-        .select(F.col("a").alias("variable"), F.col("b").alias("otra"), "rho")
-    )
+    names = [f"x{i}" for i in range(len(attributes))]
+    rows = stored(df.select(*[F.col(a).cast("double").alias(x) for a, x in zip(attributes, names, strict=True)]))
+    nulls = rows.agg(*[F.count_if(F.col(x).isNull()).alias(x) for x in names]).first()
+    known = {x: f"with_{x}" for x in names if nulls[x]}
+    kinds = ["all", *known.values()]
+    values = stored(_counted_values(rows, names, known))
+    totals = values.groupBy("side").agg(F.count(F.lit(1)).alias("values"), *[F.sum(f"t_{k}").alias(f"n_{k}") for k in kinds])
+    running = running_totals(values, "value", {f"until_{k}": F.col(f"t_{k}") for k in kinds}, by=["side"])
+    rank = lambda k: F.col(f"until_{k}") - (F.col(f"t_{k}") - 1) / 2 - (F.col(f"n_{k}") + 1) / 2
+    ranks = stored(running.join(F.broadcast(totals), "side").withColumns({f"r_{k}": rank(k) for k in kinds}))  # one total per attribute
+    squares = [F.sum(F.col(f"t_{k}") * F.col(f"r_{k}") * F.col(f"r_{k}")).alias(f"s_{k}") for k in kinds]
+    sides = {r["side"]: r for r in ranks.groupBy("side", "values", *[f"n_{k}" for k in kinds]).agg(*squares).collect()}
+
+    met = rows
+    for i in sorted(sides, key=lambda i: -sides[i]["values"]):  # the widest rows meet the shortest lists
+        wanted = dict.fromkeys(known.get(x, "all") for x in names if x != names[i])
+        own = ranks.filter(F.col("side") == i).select(F.col("value").alias(names[i]), *[F.col(f"r_{k}").alias(f"{names[i]}_{k}") for k in wanted])
+        met = met.join(F.broadcast(own) if sides[i]["values"] <= FEW_VALUES else own, names[i], "left").drop(names[i])
+    products, pairs = [], []
+    for i, j in combinations(range(len(names)), 2):
+        of_i, of_j = known.get(names[j], "all"), known.get(names[i], "all")
+        if i in sides and j in sides and sides[i][f"n_{of_i}"]:
+            products.append(F.sum(F.col(f"{names[i]}_{of_i}") * F.col(f"{names[j]}_{of_j}")).alias(f"p{i}_{j}"))
+            rho = F.try_divide(F.col(f"p{i}_{j}"), F.lit(math.sqrt(sides[i][f"s_{of_i}"]) * math.sqrt(sides[j][f"s_{of_j}"])))
+            pairs += [F.struct(F.lit(attributes[a]).alias("variable"), F.lit(attributes[b]).alias("otra"), rho.alias("rho")) for a, b in ((i, j), (j, i))]
+    diagonal = df.sparkSession.createDataFrame([(a, a, 1.0) for a in attributes], "variable string, otra string, rho double")
+    return met.agg(*products).select(F.inline(F.array(*pairs))).unionByName(diagonal) if pairs else diagonal

@@ -132,6 +132,29 @@ def test_spearman_uses_complete_pairs(spark):
             assert got[p, q] == pytest.approx(want, abs=1e-12)
 
 
+def test_spearman_of_many_values_with_nulls_on_both_sides(spark, monkeypatch):
+    """Ranks looked up by a shuffle, gaps that differ, a constant, an empty attribute; no row comes once for each pair."""
+    import pandas as pd
+
+    monkeypatch.setattr(inference, "FEW_VALUES", 5)
+    draw = np.random.default_rng(8)
+    data = pd.DataFrame({"a": draw.normal(0, 1, 300).round(2), "b": draw.integers(0, 4, 300).astype(float)})
+    data["c"], data["d"], data["e"] = data["a"] + draw.normal(0, 1, 300).round(1), 3.0, np.nan
+    data.loc[::5, "a"], data.loc[1::5, "c"], data.loc[::3, "b"] = np.nan, np.nan, np.nan
+    rows = [tuple(None if pd.isna(v) else float(v) for v in r) for r in data.itertuples(index=False)]
+    frame = spark.createDataFrame(rows, "a double, b double, c double, d double, e double").repartition(3)
+    ranked = []
+    monkeypatch.setattr(inference, "running_totals", lambda df, *args, **more: ranked.append(df.count()) or ordered.running_totals(df, *args, **more))
+    got = {(r["variable"], r["otra"]): r["rho"] for r in inference.spearman(frame, list("abcde")).collect()}
+    assert len(got) == 4 * 4 + 1 and got["e", "e"] == 1.0
+    for p in "abc":
+        assert got[p, "d"] is None and got["d", p] is None
+        for q in "abc":
+            both = data[[p, q]].dropna() if p != q else data[[p]].dropna()
+            assert got[p, q] == pytest.approx(1.0 if p == q else both[p].rank().corr(both[q].rank()), abs=1e-12)
+    assert ranked == [data.nunique().sum()]  # a value is ranked once, not once for each pair
+
+
 def test_shared_folder_follows_the_session(spark, tmp_path):
     from orderlens.session import shared_folder, stored
 
