@@ -125,7 +125,7 @@ def chi_square(orders: DataFrame, variables: Sequence[str] = CATEGORICAL_VARIABL
 
     A table with one degree of freedom gets Yates' correction; null labels are left out.
     """
-    cells = (
+    cells = materialize(  # the totals and the parts both read them; the orders are built once
         long_form(orders, variables, "string", ["cancelled_flag"])
         .filter("value is not null")
         .groupBy("variable", "value")

@@ -115,6 +115,22 @@ def test_chi_square_with_and_without_correction(spark):
     assert found["c"]["chi2"] is None and not found["c"]["evidencia_p_menor_005"]
 
 
+def test_chi_square_builds_its_orders_once(spark):
+    """The totals and the parts of the tables share one count of the cells."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    frame = spark.createDataFrame([(i % 2, "ab"[i // 7 % 2]) for i in range(40)], "cancelled_flag int, k string").mapInPandas(counted, "cancelled_flag int, k string")
+    chosen = frame.groupBy("k", "cancelled_flag").count()
+    assert inference.chi_square(chosen, ["k"]).count() == 1
+    plan = inference.chi_square(chosen, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert seen.value == 80 and "MapInPandas" not in plan
+
+
 def test_spearman_uses_complete_pairs(spark):
     import pandas as pd
 
