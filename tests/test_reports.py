@@ -177,3 +177,21 @@ def test_alerts_by_any_of_the_eight_measures(spark, df):
     rows = outliers.product_price_summary(flagged).collect()
     high = {r["product_id"] for r in lines.filter("reviews > 20").select("product_id").collect()}
     assert {r["product_id"] for r in rows} == high and high and {r["tipo_alerta"] for r in rows} == {"Otra variable"}
+
+
+def test_price_summary_counts_distinct_values_apart(spark):
+    """Null labels, null orders, repeated prices and a product under two names; lines are not repeated for each count."""
+    rows = [
+        (1, "a", 10, 5.0, True), (1, "a", 10, 5.0, False), (1, "a", 11, 6.0, False), (1, None, 12, 7.0, False), (1, None, None, None, False),
+        (2, "b", 13, 9.0, False), (3, None, None, 8.0, True), (None, "c", 14, 8.0, True),
+    ]
+    lines = spark.createDataFrame(rows, "product_id long, product_name string, order_id long, unit_price double, any_outlier_iqr boolean")
+    flagged = lines.select(
+        "*", F.lit(None).cast("string").alias("category"), F.lit("x").alias("brand"), F.col("any_outlier_iqr").alias("unit_price_outlier_iqr"),
+        F.lit(False).alias("revenue_outlier_iqr"), F.lit(1.0).alias("quantity"), F.col("unit_price").alias("revenue"), F.col("unit_price").alias("catalog_price"),
+    )
+    summary = outliers.product_price_summary(flagged)
+    columns = ("product_id", "product_name", "lineas_historicas", "pedidos_distintos", "precios_historicos_distintos", "lineas_con_algun_outlier", "tipo_alerta")
+    got = {tuple(r[c] for c in columns) for r in summary.collect()}
+    assert got == {(1, "a", 3, 2, 2, 1, "Precio"), (1, None, 2, 1, 1, 0, "Otra variable"), (3, None, 1, 0, 1, 1, "Precio")}
+    assert "Expand" not in summary._jdf.queryExecution().optimizedPlan().toString()
