@@ -99,3 +99,10 @@ def test_sparse_moments_agree_with_dense_ones():
     found = mixture.sparse_moments(at, values, x.shape[1], models, mixture._Forms.of(models))
     for sums, model in zip(found, models, strict=True):
         np.testing.assert_allclose(sums, mixture.moments(x, model), rtol=1e-6, atol=1e-6)
+
+
+def test_no_method_of_a_table_query_is_too_long_to_be_compiled(spark):
+    own = spark.newSession()
+    assert session.small_tasks(own).conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"  # HotSpot's own limit
+    own.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    assert session.small_tasks(own).conf.get("spark.sql.codegen.hugeMethodLimit") == "65535"
