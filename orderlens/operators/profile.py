@@ -31,7 +31,10 @@ def _distinct_values(df: DataFrame) -> DataFrame:
     few = [c for i, c in enumerate(columns) if first[f"d{i}"] <= FEW_VALUES]
     out = []
     if few:
-        sets = df.agg(*[F.array_sort(F.collect_set(F.col(c).cast("string"))).alias(f"s{i}") for i, c in enumerate(few)])
+        # whole numbers, flags and days become text in the finished set, once a value and not once a row
+        kinds = {f.name: isinstance(f.dataType, (T.IntegralType, T.BooleanType, T.DateType)) for f in df.schema.fields}
+        values = [F.collect_set(F.col(c) if kinds[c] else F.col(c).cast("string")).cast("array<string>") for c in few]
+        sets = df.agg(*[F.array_sort(v).alias(f"s{i}") for i, v in enumerate(values)])
         rows = [F.struct(F.lit(c).alias("variable"), F.size(f"s{i}").cast("long").alias("distintos"), F.col(f"s{i}").alias("valores")) for i, c in enumerate(few)]
         out.append(sets.select(F.inline(F.array(*rows))))
     for c in columns:

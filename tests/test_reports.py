@@ -141,6 +141,15 @@ def test_profiles(df):
     assert filters.rows_with_nulls(df).count() == 2
 
 
+def test_whole_numbers_become_text_once_a_set(spark, monkeypatch):
+    df = spark.range(40).selectExpr("cast(id % 3 as int) AS n", "id % 2 = 0 AS flag", "date_add(date'2024-02-28', cast(id % 2 as int)) AS day", "id % 2 - 0.5D AS x")
+    sets, collect_set = [], F.collect_set
+    monkeypatch.setattr(profile.F, "collect_set", lambda c: sets.append(str(c)) or collect_set(c))
+    words = {r["variable"]: (r["distintos"], r["valores"]) for r in profile.data_dictionary(df).collect()}
+    assert words == {"n": (3, "0, 1, 2"), "flag": (2, "false, true"), "day": (2, "2024-02-28, 2024-02-29"), "x": (2, "-0.5, 0.5")}
+    assert ["CAST" in s.upper() for s in sets] == [False, False, False, True]
+
+
 def test_customer_features(df):
     rows = {r["user_id"]: r for r in build_customer_features(df).collect()}
     assert set(rows) == {1, 2}
