@@ -116,6 +116,45 @@ def test_lines_of_a_bucketed_table_are_not_shuffled(spark, tmp_path, enriched):
     assert order_level.order_level(table).count() == enriched.select("order_id").distinct().count()
 
 
+def test_formats_in_several_passes(spark, tmp_path, repeated_orders):
+    """Every line is written once whatever the passes, and a bucket is one file."""
+    import glob
+
+    dated = repeated_orders.withColumn("year_month", F.concat(F.lit("2024-"), F.col("order_id") % 5)).withColumn("year_month", F.expr("nullif(year_month, '2024-3')"))
+    read = lambda path: sorted(map(str, spark.read.parquet(path).select(*dated.columns).collect()))
+    for passes in (1, 3):
+        released = []
+        files.write_formats(dated, str(tmp_path / f"{passes}"), f"formats_{passes}", 4, passes, lambda: released.append(True))
+        assert released == [True]
+    assert read(f"{tmp_path}/3/formats_3.parquet") == read(f"{tmp_path}/1/formats_1.parquet") and len(read(f"{tmp_path}/3/formats_3.parquet")) == 60
+    assert read(f"{tmp_path}/3/formats_3_table") == read(f"{tmp_path}/1/formats_1_table") == read(f"{tmp_path}/1/formats_1.parquet")
+    assert len(glob.glob(f"{tmp_path}/3/formats_3_table/*.parquet")) == len(glob.glob(f"{tmp_path}/1/formats_1_table/*.parquet"))
+    assert {r["filas"] for r in files.reconcile(spark, str(tmp_path / "3"), dated.schema, "formats_3").collect()} == {60}
+
+
+def test_reconciled_formats_leave_the_formats_only(spark, monkeypatch, repeated_orders):
+    """What the lines are made of is gone before the second format is written, and the session keeps its settings."""
+    import os
+
+    import registry
+    from orderlens.session import stored
+    from orderlens.sources import star_tables
+
+    made, there = [], []
+    lines = lambda spark, sf: made.append(stored(repeated_orders)) or made[0]
+    csv = files.write_csv
+    monkeypatch.setattr(star_tables, "enriched", lines)
+    monkeypatch.setattr(files, "write_csv", lambda df, path: there.append(os.path.exists(folder())) or csv(df, path))
+    folder = lambda: paths[0].removeprefix("file:").rsplit("/", 1)[0]
+    paths = []
+    keep = files.write_parquet
+    monkeypatch.setattr(files, "write_parquet", lambda df, *a, **o: paths.extend(made[0].inputFiles()) or keep(df, *a, **o))
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    found = registry.load()["reconcile_formats"].run(spark, "")
+    assert {r["filas"] for r in found.collect()} == {60} and there == [False] and spark.conf.get(key, None) == before
+
+
 def test_landed_counts(spark, tmp_path):
     path = write_pages(tmp_path / "users", "users", [{"id": i} for i in range(9)], 4)
     landed = pages.read_pages(spark, str(path), "users")
